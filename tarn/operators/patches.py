@@ -21,13 +21,13 @@ from tarn.plans.patching import (
     array_depth,
     array_lengths,
     index_positions,
+    patch_failures,
     patch_lengths,
-    patch_value_errors,
     path_id,
     sets_lengths,
     updated,
 )
-from tarn.plans.rules import ERROR_TYPE, no_errors
+from tarn.plans.rules import ERROR_TYPE, describe, no_errors
 from tarn.plans.schema import Node, check_schema, node_tree
 
 # Fixed value: into how many runs of equal weight the scan cuts a log. A run of
@@ -110,12 +110,17 @@ def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
         )
     ).cast(ERROR_TYPE)
     asks = (F.col("op") == "replace") & pid.isNotNull()
+    checked = bind(
+        resolved.withColumn("idx", numbers),
+        "_failed",
+        F.when(asks & F.col("value").isNotNull(), patch_failures(root, pid, F.col("value"))),
+    )
     errors = (
-        F.when(~F.coalesce(asks, F.lit(False)), no_errors())
-        .when(F.col("value").isNull(), missing)
-        .otherwise(patch_value_errors(root, pid, F.col("value")))
+        F.when(asks & F.col("value").isNull(), missing)
+        .when(F.col("_failed").isNull(), no_errors())
+        .otherwise(describe(F.col("_failed"), root.dtype))
     )
-    checked = bind(resolved.withColumn("idx", numbers), "_errors", errors)
+    checked = bind(checked, "_errors", errors).drop("_failed")
     full = F.transform(
         "_errors",
         lambda e: F.struct(
@@ -171,14 +176,24 @@ def duplicate_seqs(patches: DataFrame, key: str | list[str], seq: str) -> DataFr
 
 
 def _entity_lengths(entities: DataFrame, root: Node, keys: list[str], level: int) -> DataFrame:
+    """The array lengths of the entities as they come: they stand before the whole
+    log, or right after ``last_seq`` where the entities carry that column."""
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
-    return entities.select(*[top(k) for k in keys], F.inline(array_lengths(root, row, F.lit(""), level)))
+    at = F.col("last_seq") if "last_seq" in entities.columns else F.lit(None)
+    return entities.select(
+        *[top(k) for k in keys],
+        at.cast("bigint").alias("_at"),
+        F.lit(True).alias("_base"),
+        F.inline(array_lengths(root, row, F.lit(""), level)),
+    )
 
 
 def _length_changes(good: DataFrame, root: Node, keys: list[str], seq: str, level: int) -> DataFrame:
     setters = good.where(F.col("path_id").isin(*sets_lengths(root, level)))
     lengths = patch_lengths(root, F.col("path_id"), F.col("value"), F.col("path"), level)
-    return setters.select(*[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), F.inline(lengths))
+    return setters.select(
+        *[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), F.lit(False).alias("_base"), F.inline(lengths)
+    )
 
 
 def _array_path(root: Node, level: int) -> Column:
@@ -196,12 +211,12 @@ def _reachable(entities: DataFrame, latest: DataFrame, root: Node, keys: list[st
     for level in range(array_depth(root)):
         settled = latest.where(F.size("idx") <= level)
         pending = latest.where(F.size("idx") > level).withColumn("inst", _array_path(root, level))
-        start = _entity_lengths(entities, root, keys, level).withColumn("_at", F.lit(None).cast("bigint"))
+        start = _entity_lengths(entities, root, keys, level)
         changes = _length_changes(settled, root, keys, seq, level)
         lengths = (
             start.unionByName(changes)
             .groupBy(*names)
-            .agg(F.max_by(F.struct("len", "_at"), F.struct(F.col("_at").isNotNull(), "_at")).alias("_l"))
+            .agg(F.max_by(F.struct("len", "_at"), F.struct("_at", "_base")).alias("_l"))
         )
         kept = (
             pending.join(lengths, [*keys, "inst"], "inner")
@@ -220,21 +235,30 @@ def attach_patches(
     entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
 ) -> DataFrame:
     """Put on each entity's row the patches that make its new state, in order,
-    as ``patches``, with ``last_seq``. The log is compacted on the way, so the
-    array is bounded by the size of the entity."""
+    as ``patches``, with ``last_seq``, the newest of them. The log is compacted on
+    the way, so the array is bounded by the size of the entity. Where the
+    entities carry ``last_seq`` already, patches up to it are left out."""
     root, keys = _tree(schema), as_list(key)
     latest = compact_patch_log(patches, schema, keys, seq)
     if array_depth(root):
         latest = _reachable(entities, latest, root, keys, seq)
     entry = F.struct(top(seq).alias("seq"), F.col("path"), F.col("path_id"), F.col("idx"), F.col("value"))
     gathered = latest.groupBy(*[quoted(k) for k in keys]).agg(
-        F.collect_list(entry).alias("_list"), F.max(top(seq)).alias("last_seq")
+        F.collect_list(entry).alias("_list"), F.max(top(seq)).alias("_newest")
     )
+
     def by_seq(a: Column, b: Column) -> Column:
         return F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0)
 
-    ordered = gathered.withColumn("patches", F.array_sort("_list", by_seq)).drop("_list")
-    return entities.join(ordered, keys, "left")
+    joined = entities.join(gathered, keys, "left")
+    kept, newest = F.col("_list"), F.col("_newest")
+    if "last_seq" in entities.columns:
+        done = F.coalesce(F.col("last_seq"), F.lit(-(2**63)))
+        kept = F.filter("_list", lambda p: p["seq"] > done)
+        newest = F.greatest("last_seq", "_newest")
+    ordered = joined.withColumn("patches", F.array_sort(kept, by_seq)).withColumn("last_seq", newest)
+    others = [c for c in entities.columns if c != "last_seq"]
+    return ordered.select(*[top(c) for c in others], "patches", "last_seq")
 
 
 def apply_patch_log(
@@ -242,7 +266,9 @@ def apply_patch_log(
 ) -> DataFrame:
     """The entities after the whole log, each patch in order of ``seq``. A
     refused patch changes nothing (``patch_rejects`` lists them) and entities
-    without patches stay as they are. ``last_seq`` is added."""
+    without patches stay as they are. ``last_seq`` is added: given again with the
+    next log, it makes patches that were applied before, or come late, count for
+    nothing."""
     root, keys = _tree(schema), as_list(key)
     attached = attach_patches(entities, patches, schema, keys, seq)
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
@@ -254,7 +280,12 @@ def apply_patch_log(
     done = bind(attached, "_state", F.when(F.col("patches").isNotNull(), folded).otherwise(row))
     fields = {c.name for c in root.children}
     return done.select(
-        *[F.col("_state").getField(c).alias(c) if c in fields else top(c) for c in entities.columns], "last_seq"
+        *[
+            F.col("_state").getField(c).alias(c) if c in fields else top(c)
+            for c in entities.columns
+            if c != "last_seq"
+        ],
+        "last_seq",
     )
 
 
@@ -322,15 +353,15 @@ def _last_before(events: DataFrame, group: list[str], value: str, query: str) ->
     )
     placed = events.withColumn("_chunk", F.when(F.col("_at").isNull(), -1).otherwise(chunk))
     names = [quoted(g) for g in group]
-    earlier = Window.partitionBy(*names, "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*names, "_chunk").orderBy("_at", "_base").rowsBetween(Window.unboundedPreceding, -1)
     inside = placed.withColumn("_inside", F.last(value, ignorenulls=True).over(earlier)).where(query)
     totals = placed.groupBy(*names, "_chunk").agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.coalesce("_at", F.lit(0)))).alias("_value")
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct("_at", "_base"))).alias("_value")
     )
     before = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*names, "_chunk", F.last("_value", ignorenulls=True).over(before).alias("_carried"))
     joined = inside.join(carried, [*group, "_chunk"], "left")
-    return joined.withColumn("_last", F.coalesce("_inside", "_carried")).drop("_inside", "_carried", "_chunk")
+    return joined.withColumn("_last", F.coalesce("_inside", "_carried")).drop("_inside", "_carried", "_chunk", "_base")
 
 
 def path_in_data(
@@ -355,10 +386,11 @@ def path_in_data(
         asked = pending.select(
             *[top(k) for k in keys],
             top(seq).cast("bigint").alias("_at"),
+            F.lit(False).alias("_base"),
             _array_path(root, level).alias("inst"),
             payload.alias("_patch"),
         )
-        start = _entity_lengths(entities, root, keys, level).withColumn("_at", F.lit(None).cast("bigint"))
+        start = _entity_lengths(entities, root, keys, level)
         changes = _length_changes(setters, root, keys, seq, level)
         events = start.unionByName(changes).unionByName(asked, allowMissingColumns=True)
         known = _last_before(events, [*keys, "inst"], "len", "_patch IS NOT NULL")

@@ -36,12 +36,16 @@ def _leaf_columns(value: Column, dtype: T.DataType, names: tuple[str, ...]):
             yield from _leaf_columns(value.getField(f.name), f.dataType, (*names, f.name))
     elif isinstance(dtype, T.ArrayType) and not is_leaf(dtype.elementType):
         for i, (inner, _) in enumerate(_leaf_columns(value, dtype.elementType, names)):
-            # The i-th leaf of the item, taken inside each item.
-            yield inner, F.transform(value, lambda x, i=i: list(_leaf_columns(x, dtype.elementType, names))[i][1])
+            yield inner, _leaf_of_items(value, dtype.elementType, names, i)
     else:
         yield names, value
 
 
+def _leaf_of_items(value: Column, item: T.DataType, names: tuple[str, ...], i: int) -> Column:
+    """The i-th leaf of an item, taken from each item."""
+    return F.transform(value, lambda x: list(_leaf_columns(x, item, names))[i][1])
+
+
 def flatten_paths(
     df: DataFrame, schema: T.DataType | str, keep: list[str] = (), separator: str = "_"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tarn.functions.pointers import any_index, is_pointer
 from tarn.plans.columns import concat_arrays, struct_of
-from tarn.plans.rules import ERROR_TYPE, no_errors, value_errors
+from tarn.plans.rules import FAILED_TYPE, value_failures
 from tarn.plans.schema import ANY_INDEX, Node, holds
 from tarn.plans.typed import typed_value
 
@@ -52,14 +52,14 @@ def _by_id(groups: Sequence[tuple[Sequence[int], Column]], pid: Column, default:
     return result.otherwise(default)
 
 
-def patch_value_errors(root: Node, pid: Column, value: Column) -> Column:
-    """The errors of a patch value under the sub-schema its path names. Nodes
-    of the same type share one compiled rule."""
+def patch_failures(root: Node, pid: Column, value: Column) -> Column:
+    """The nodes of a patch value that do not fit the sub-schema its path names.
+    Places of the same type share one compiled rule."""
     kinds: dict[str, tuple[T.DataType, list[int]]] = {}
     for n in root.walk():
         kinds.setdefault(n.dtype.json(), (n.dtype, []))[1].append(n.id)
-    groups = [(ids, value_errors(value, dtype, F.lit("")).cast(ERROR_TYPE)) for dtype, ids in kinds.values()]
-    return _by_id(groups, pid, no_errors())
+    nothing = F.lit(None).cast(f"array<{FAILED_TYPE}>")
+    return _by_id([(ids, value_failures(value, dtype)) for dtype, ids in kinds.values()], pid, nothing)
 
 
 def index_positions(root: Node, pid: Column) -> Column:

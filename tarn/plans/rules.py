@@ -275,11 +275,10 @@ def add_errors(df: DataFrame, doc: Column, dtype: T.DataType, name: str) -> Data
     return bind(df.drop("_nodes", "_oks"), name, errors).drop("_failed")
 
 
-def value_errors(value: Column, dtype: T.DataType, path: Column) -> Column:
-    """The errors of a value met inside a larger expression, where nothing can
-    be bound first."""
-    spread = spread_out(value, dtype)
-    errors = describe(failed_nodes(spread, value, dtype, path, check_here), dtype)
+def value_failures(value: Column, dtype: T.DataType) -> Column:
+    """The failed nodes of a value met inside a larger expression, where
+    nothing can be bound first; input for ``describe``."""
     if is_leaf(dtype):
-        return F.when(checks(value, dtype)[0], no_errors()).otherwise(errors)
-    return errors
+        return F.when(~checks(value, dtype)[0], F.array(_failed(F.lit(""), dtype, value)))
+    spread = F.array(spread_out(value, dtype))
+    return F.get(F.transform(spread, lambda n: failed_nodes(n, value, dtype, F.lit(""), check_here)), F.lit(0))

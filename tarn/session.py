@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def build_session(name: str = "tarn", master: str | None = None, **settings: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tarn-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for a table or a stream checkpoint, inside the shared folder
     that the cluster names in ``spark.checkpoint.dir``.
@@ -38,6 +44,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tarn-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
