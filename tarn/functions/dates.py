@@ -16,10 +16,15 @@ def iso_timestamp(text: Column) -> Column:
 
     The pattern comes first because a cast alone would read ``T10:00`` as today.
     """
+    # yyyy-MM-ddTHH:mm is 16 characters; a cast wants seconds before a zone.
+    timed = F.when(
+        (F.length(text) > 10) & (F.substring(text, 17, 1) != ":"),
+        F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6)),
+    ).otherwise(text)
     zoned = (
-        F.when(text.rlike(ZONE), text)
+        F.when(text.rlike(ZONE), timed)
         .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .otherwise(F.concat(text, F.lit("Z")))
+        .otherwise(F.concat(timed, F.lit("Z")))
     )
     return F.when(text.rlike(ISO_DATE), zoned.try_cast("timestamp"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions.pointers import any_index, has_index, is_pointer, steps
-from tarn.plans.columns import as_list, bind, quoted, top
+from tarn.plans.columns import as_list, bind, compiled_once, quoted, top
 from tarn.plans.patching import (
     array_depth,
     array_lengths,
@@ -72,11 +72,16 @@ def _tree(schema: T.DataType | str) -> Node:
     return node_tree(check_schema(schema))
 
 
+@compiled_once
+def _path_ids(dtype: T.DataType) -> Column:
+    return path_id(node_tree(dtype), F.col("path"))
+
+
 def resolve_paths(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     """Add ``path_id``, the schema node each path names (null if none), and
     ``depth``, how many of its steps the schema knows."""
     root = _tree(schema)
-    resolved = patches.withColumn("path_id", path_id(root, F.col("path")))
+    resolved = patches.withColumn("path_id", _path_ids(root.dtype))
     known = F.array(*[F.lit(n.path) for n in root.walk()])
     parts = steps(F.col("path"))
     prefixes = F.transform(
@@ -92,6 +97,16 @@ def resolve_paths(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     return resolved.withColumn("depth", depth)
 
 
+@compiled_once
+def _value_failures(dtype: T.DataType) -> Column:
+    return patch_failures(node_tree(dtype), F.col("path_id"), F.col("value"))
+
+
+@compiled_once
+def _value_errors(dtype: T.DataType) -> Column:
+    return describe(F.col("_failed"), dtype)
+
+
 def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     """Add ``path_id``, ``idx`` (the numbers in the path), and the verdict that
     needs no entity: ``code`` is null, ``unsupported_op``, ``invalid_path`` or
@@ -113,12 +128,12 @@ def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     checked = bind(
         resolved.withColumn("idx", numbers),
         "_failed",
-        F.when(asks & F.col("value").isNotNull(), patch_failures(root, pid, F.col("value"))),
+        F.when(asks & F.col("value").isNotNull(), _value_failures(root.dtype)),
     )
     errors = (
         F.when(asks & F.col("value").isNull(), missing)
         .when(F.col("_failed").isNull(), no_errors())
-        .otherwise(describe(F.col("_failed"), root.dtype))
+        .otherwise(_value_errors(root.dtype))
     )
     checked = bind(checked, "_errors", errors).drop("_failed")
     full = F.transform(
@@ -180,20 +195,16 @@ def _entity_lengths(entities: DataFrame, root: Node, keys: list[str], level: int
     log, or right after ``last_seq`` where the entities carry that column."""
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
     at = F.col("last_seq") if "last_seq" in entities.columns else F.lit(None)
-    return entities.select(
-        *[top(k) for k in keys],
-        at.cast("bigint").alias("_at"),
-        F.lit(True).alias("_base"),
-        F.inline(array_lengths(root, row, F.lit(""), level)),
-    )
+    lengths = array_lengths(root, row, F.lit(""), level).alias("_lengths")
+    named = entities.select(*[top(k) for k in keys], at.cast("bigint").alias("_at"), lengths)
+    return named.select(*[top(k) for k in keys], "_at", F.lit(True).alias("_base"), F.inline("_lengths"))
 
 
 def _length_changes(good: DataFrame, root: Node, keys: list[str], seq: str, level: int) -> DataFrame:
     setters = good.where(F.col("path_id").isin(*sets_lengths(root, level)))
-    lengths = patch_lengths(root, F.col("path_id"), F.col("value"), F.col("path"), level)
-    return setters.select(
-        *[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), F.lit(False).alias("_base"), F.inline(lengths)
-    )
+    lengths = patch_lengths(root, F.col("path_id"), F.col("value"), F.col("path"), level).alias("_lengths")
+    named = setters.select(*[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), lengths)
+    return named.select(*[top(k) for k in keys], "_at", F.lit(False).alias("_base"), F.inline("_lengths"))
 
 
 def _array_path(root: Node, level: int) -> Column:

@@ -100,7 +100,8 @@ def explode_nodes(df: DataFrame, schema: T.DataType | str, key: str | list[str],
     """One row per leaf, ``(key, path, type, value as text)``."""
     dtype = check_schema(schema)
     keys = [top(k) for k in ([key] if isinstance(key, str) else key)]
-    return df.select(*keys, F.inline(leaf_entries(top(rec), dtype, F.lit(""))))
+    leaves = df.select(*keys, leaf_entries(top(rec), dtype, F.lit("")).alias("_leaves"))
+    return leaves.select(*keys, F.inline("_leaves"))
 
 
 # -- Avro layout -----------------------------------------------------------------

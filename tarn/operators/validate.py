@@ -22,7 +22,7 @@ def validate(df: DataFrame, schema: T.DataType | str, doc: str = "doc", errors:
     """Add the ``errors`` column: an array of ``(path, code, expected, found)``,
     empty when the document fits the schema. One pass, no shuffle."""
     dtype = check_schema(schema)
-    return add_errors(df, top(doc), dtype, errors)
+    return add_errors(df, doc, dtype, errors)
 
 
 def decode(

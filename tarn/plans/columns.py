@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache, wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,3 +50,19 @@ def struct_of(dtype: T.StructType, values: Sequence[Column]) -> Column:
     if not dtype.fields:
         return F.struct()
     return F.struct(*[v.alias(f.name) for f, v in zip(dtype.fields, values)])
+
+
+def compiled_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Compile a schema into a column once per session. ``build`` takes the schema
+    and names; the columns it gives hold names only, so they fit any table.
+    For a wide schema, building the column takes longer than planning it."""
+
+    @lru_cache(maxsize=256)
+    def cached(session: int, schema: str, *names: str) -> Column:
+        return build(T._parse_datatype_json_string(schema), *names)
+
+    @wraps(build)
+    def call(dtype: T.DataType, *names: str) -> Column:
+        return cached(id(SparkContext._active_spark_context), dtype.json(), *names)
+
+    return call

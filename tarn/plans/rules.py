@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions.dates import iso_timestamp
-from tarn.plans.columns import bind, concat_arrays
+from tarn.plans.columns import bind, compiled_once, concat_arrays, top
 from tarn.plans.schema import escape, is_leaf, type_name
 
 ERROR_TYPE = "array<struct<path:string,code:string,expected:string,found:string>>"
@@ -251,9 +251,20 @@ def describe(failed: Column, dtype: T.DataType) -> Column:
     )
 
 
-def add_errors(df: DataFrame, doc: Column, dtype: T.DataType, name: str) -> DataFrame:
-    """Add the errors column: empty for a good document, ``malformed`` for one
-    that is not JSON, otherwise all its errors."""
+@compiled_once
+def _checks_column(dtype: T.DataType) -> Column:
+    return F.array(*checks(F.col("_nodes"), dtype))
+
+
+@compiled_once
+def _failed_column(dtype: T.DataType, doc: str) -> Column:
+    oks = F.col("_oks")
+    listed = failed_nodes(F.col("_nodes"), top(doc), dtype, F.lit(""), check_at(oks))
+    return F.when(top(doc).isNotNull() & F.array_contains(oks, False), listed)
+
+
+@compiled_once
+def _errors_column(dtype: T.DataType, doc: str) -> Column:
     malformed = F.array(
         F.struct(
             F.lit("").alias("path"),
@@ -262,17 +273,21 @@ def add_errors(df: DataFrame, doc: Column, dtype: T.DataType, name: str) -> Data
             F.lit("TEXT").alias("found"),
         )
     )
-    nodes, oks, failed = F.col("_nodes"), F.col("_oks"), F.col("_failed")
-    df = bind(df, "_nodes", spread_out(doc, dtype))
-    df = bind(df, "_oks", F.array(*checks(nodes, dtype)))
-    listed = failed_nodes(nodes, doc, dtype, F.lit(""), check_at(oks))
-    df = bind(df, "_failed", F.when(doc.isNotNull() & F.array_contains(oks, False), listed))
-    errors = (
-        F.when(doc.isNull(), malformed)
+    failed = F.col("_failed")
+    return (
+        F.when(top(doc).isNull(), malformed)
         .when(failed.isNull(), no_errors())
         .otherwise(describe(failed, dtype))
     )
-    return bind(df.drop("_nodes", "_oks"), name, errors).drop("_failed")
+
+
+def add_errors(df: DataFrame, doc: str, dtype: T.DataType, name: str) -> DataFrame:
+    """Add the errors column: empty for a good document, ``malformed`` for one
+    that is not JSON, otherwise all its errors."""
+    df = bind(df, "_nodes", spread_out(top(doc), dtype))
+    df = bind(df, "_oks", _checks_column(dtype))
+    df = bind(df, "_failed", _failed_column(dtype, doc))
+    return bind(df.drop("_nodes", "_oks"), name, _errors_column(dtype, doc)).drop("_failed")
 
 
 def value_failures(value: Column, dtype: T.DataType) -> Column:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The settings the library's plans count on.
 SETTINGS = {
@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Without the call site kept for each column, wide schemas compile faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -46,3 +48,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = _local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to a work folder and read it back. For results that several
+    branches of a plan read: each branch then scans only the rows and columns it
+    needs, and a lost executor costs no recomputation."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_out_scan(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of a few small files. Checking documents costs
+    far more than moving them, and one file of one row group is one task. Inputs
+    that already have enough parts, as large ones do, are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarn.operators.patches import REJECT_COLUMNS, apply_patch_log, patch_rejects, read_patch_log, validate_patches
 from tarn.plans.columns import as_list, top
+from tarn.session import staged
 
 
 def stream_patch_log(
@@ -109,6 +110,7 @@ def fold_batch(
             return
         before = spark.read.parquet(f"{out}/entities/version={version}")
         patches = batch if doc is None else read_patch_log(batch, key, seq, doc)
+        patches = staged(validate_patches(patches, schema), "judged")
         after, rejects = fold_patches(before, patches, schema, key, seq)
         after.write.mode("overwrite").parquet(f"{out}/entities/version={batch_id}")
         rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={batch_id}")

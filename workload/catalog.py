@@ -14,7 +14,7 @@ from tarn.operators.validate import (
     split_valid,
     validate,
 )
-from tarn.session import work_dir
+from tarn.session import staged, work_dir
 from tarn.sources.lake import read_json_docs, read_lake, read_parquet_as, write_lake
 from tarn.streaming.ingest import stream_ingest
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
@@ -36,6 +36,12 @@ def _log(spark, sf_dir) -> DataFrame:
     return patches.read_patch_log(patch_docs(spark, sf_dir), KEY, SEQ)
 
 
+def _judged(spark, sf_dir) -> DataFrame:
+    """The log judged against the schema once, for queries that read it from
+    several sides."""
+    return staged(patches.validate_patches(_log(spark, sf_dir), ENTITY_SCHEMA), "judged")
+
+
 def _join_errors(field: str):
     return F.array_join(F.transform("errors", lambda e: e.getField(field)), ",")
 
@@ -264,7 +270,7 @@ def q_validate_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_path_in_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = patches.path_in_data(entities(spark, sf_dir), _log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
+    placed = patches.path_in_data(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
     return placed.select(KEY, SEQ, "path", "in_data")
 
 
@@ -299,13 +305,13 @@ def q_apply_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = patches.patch_rejects(entities(spark, sf_dir), _log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
+    out = patches.patch_rejects(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
     return out.select(KEY, SEQ, "op", "path", "code")
 
 
 def q_patch_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log under keys eleven times as large, some of them no customer's."""
-    log = _log(spark, sf_dir).withColumn(KEY, F.col(KEY) * 11)
+    log = _judged(spark, sf_dir).withColumn(KEY, F.col(KEY) * 11)
     out = patches.patch_rejects(entities(spark, sf_dir), log, ENTITY_SCHEMA, KEY, SEQ)
     return out.select(KEY, SEQ, "path", "code")
 

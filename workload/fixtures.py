@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarn.session import spread_out_scan
+
 EVENT_SCHEMA = (
     "id BIGINT, at TIMESTAMP, kind STRING, amount DOUBLE, ratio FLOAT, big BOOLEAN, "
     "user STRUCT<id: INT, k: INT>, items ARRAY<STRUCT<p: INT, q: STRING>>, tags ARRAY<STRING>"
@@ -16,7 +18,7 @@ ENTITY_SCHEMA = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_out_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _field(name: str, text: Column) -> Column:
