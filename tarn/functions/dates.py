@@ -39,6 +39,11 @@ def utc_midnight(day: Column) -> Column:
     return F.timestamp_seconds(F.unix_date(day).cast("bigint") * F.lit(86400))
 
 
+def zoneless_as_utc(value: Column) -> Column:
+    """A timestamp without a zone, taken as UTC whatever the session time zone."""
+    return F.concat(value.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def epoch_millis(ts: Column) -> Column:
     return F.unix_millis(ts)
 

@@ -88,7 +88,9 @@ def resolve_paths(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
         F.sequence(F.lit(1), F.size(parts)),
         lambda k: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, k), "/")),
     )
-    good_prefixes = F.filter(prefixes, lambda p: F.array_contains(known, any_index(p)))
+    good_prefixes = F.filter(
+        prefixes, lambda p: F.array_contains(known, p) | F.array_contains(known, any_index(p))
+    )
     depth = (
         F.when(F.col("path_id").isNotNull(), F.size(parts))
         .when(is_pointer(F.col("path")) & (F.size(parts) > 0), F.size(good_prefixes))

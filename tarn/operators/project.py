@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.functions.dates import epoch_millis, from_epoch_millis, utc_day, utc_midnight
+from tarn.functions.dates import epoch_millis, from_epoch_millis, utc_day, utc_midnight, zoneless_as_utc
 from tarn.plans.columns import concat_arrays, quoted, struct_of, top
 from tarn.plans.schema import SchemaError, check_schema, escape, holds, is_leaf, same_type, type_name
 
@@ -202,6 +202,10 @@ def _conformed(value: Column, found: T.DataType, wanted: T.DataType) -> Column:
         return F.when(value.isNotNull(), struct_of(wanted, fields))
     if isinstance(wanted, T.ArrayType):
         return F.transform(value, lambda x: _conformed(x, found.elementType, wanted.elementType))
+    if isinstance(found, T.DateType):
+        return utc_midnight(value)
+    if isinstance(found, T.TimestampNTZType):
+        return zoneless_as_utc(value)
     return value.cast(wanted)
 
 

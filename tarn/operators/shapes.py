@@ -14,7 +14,7 @@ from tarn.plans.schema import ANY_INDEX, check_schema, escape, holds, is_leaf
 def shape_of(doc: Column) -> Column:
     """The shape of a parsed document as text. All forms of a number with a
     fraction get one name; field order does not matter, as VARIANT sorts keys."""
-    return F.regexp_replace(F.schema_of_variant(doc), r"DECIMAL\(\d+, ?\d+\)|FLOAT", "DOUBLE")
+    return F.regexp_replace(F.schema_of_variant(doc), r"(?<=^|: |<)(DECIMAL\(\d+, ?\d+\)|FLOAT)(?=[,>]|$)", "DOUBLE")
 
 
 def shape_registry(df: DataFrame, key: str, doc: str = "doc") -> DataFrame:

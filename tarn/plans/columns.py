@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import lru_cache, wraps
+from functools import wraps
 
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
@@ -57,12 +57,13 @@ def compiled_once(build: Callable[..., Column]) -> Callable[..., Column]:
     and names; the columns it gives hold names only, so they fit any table.
     For a wide schema, building the column takes longer than planning it."""
 
-    @lru_cache(maxsize=256)
-    def cached(session: int, schema: str, *names: str) -> Column:
-        return build(T._parse_datatype_json_string(schema), *names)
+    built: dict[tuple, Column] = {}
 
     @wraps(build)
     def call(dtype: T.DataType, *names: str) -> Column:
-        return cached(id(SparkContext._active_spark_context), dtype.json(), *names)
+        key = (id(SparkContext._active_spark_context), dtype.json(), *names)
+        if key not in built:
+            built[key] = build(dtype, *names)
+        return built[key]
 
     return call

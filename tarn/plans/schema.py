@@ -52,7 +52,7 @@ def escape(name: str) -> str:
 def check_schema(schema: T.DataType | str) -> T.DataType:
     """Return the schema as a Spark type, or raise naming the bad path."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     _check(schema, "")
     return schema
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,10 +67,10 @@ def latest_version(spark: SparkSession, out: str) -> int | None:
     version folder without a commit is a write that failed."""
     try:
         commits = spark.read.schema("version BIGINT").parquet(f"{out}/commits")
-    except Exception as e:  # no commit yet: the folder does not exist
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return None  # nothing was committed yet
     return commits.agg(F.max("version")).first()[0]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarn.functions.dates import zoneless_as_utc
 from tarn.operators import generate, order, patches, project, shapes
 from tarn.operators.validate import (
     decode,
@@ -139,7 +140,8 @@ def q_avro_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_from_avro_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project.avro_layout(read_parquet_as(spark, f"{sf_dir}/lineitem.parquet", LINEITEM_SCHEMA), LINEITEM_SCHEMA)
     back = project.from_avro_layout(rows, LINEITEM_SCHEMA)
-    return back.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    shown = F.to_utc_timestamp("l_shipdate", F.current_timezone())
+    return back.withColumn("l_shipdate", F.date_format(shown, "yyyy-MM-dd HH:mm:ss"))
 
 
 def q_to_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +321,7 @@ def q_patch_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_duplicate_seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence numbers of the log cut to the hour: some now occur twice."""
     hours = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias(KEY), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)).alias(SEQ)
+        F.col("user_id").alias(KEY), F.floor(F.unix_micros(zoneless_as_utc(F.col("ts"))) / F.lit(3_600_000_000)).alias(SEQ)
     )
     return patches.duplicate_seqs(hours, KEY, SEQ)
 
