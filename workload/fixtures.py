@@ -18,7 +18,12 @@ ENTITY_SCHEMA = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_out_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are about to be parsed and checked."""
+    return spread_out_scan(table(spark, sf_dir, name))
 
 
 def _field(name: str, text: Column) -> Column:
@@ -67,7 +72,7 @@ def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fault == 10, F.lit('"zz":true')),
     ]
     raw = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
-    return table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+    return spread_table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +108,6 @@ def patch_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit('"yes"'))
     )
     doc = F.concat(F.lit('{"op":"replace","path":"'), path, F.lit('","value":'), value, F.lit("}"))
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         F.col("user_id").alias("c_custkey"), F.col("event_id").alias("seq"), doc.alias("doc")
     )
