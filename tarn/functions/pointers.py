@@ -29,7 +29,3 @@ def any_index(path: Column) -> Column:
 def steps(path: Column) -> Column:
     """The steps of a pointer, still escaped; none for the root."""
     return F.when(path == "", F.array().cast("array<string>")).otherwise(F.slice(F.split(path, "/"), 2, 2**30))
-
-
-def unescape(step: Column) -> Column:
-    return F.replace(F.replace(step, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~"))

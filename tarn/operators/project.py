@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions.dates import epoch_millis, from_epoch_millis, utc_day, utc_midnight, zoneless_as_utc
-from tarn.plans.columns import concat_arrays, quoted, struct_of, top
+from tarn.plans.columns import concat_arrays, struct_of, top
 from tarn.plans.schema import SchemaError, check_schema, escape, holds, is_leaf, same_type, type_name
 
 DATES = (T.TimestampType, T.DateType)

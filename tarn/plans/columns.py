@@ -41,10 +41,6 @@ def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def has_column(df: DataFrame, name: str) -> bool:
-    return name in df.columns
-
-
 def struct_of(dtype: T.StructType, values: Sequence[Column]) -> Column:
     """A struct with the field names of ``dtype``."""
     if not dtype.fields:

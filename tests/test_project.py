@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tarn.operators import generate, order, project, shapes
 from tarn.operators.validate import parse_docs, split_valid, validate
-from tarn.plans.schema import SchemaError, check_schema
+from tarn.plans.schema import SchemaError
 from tarn.sources.lake import read_json_docs, read_lake, read_parquet_as, write_lake
 
 LEAVES = [

@@ -2,7 +2,6 @@ import json
 
 from pyspark.sql import functions as F
 
-from tarn.operators import patches as P
 from tarn.sources.lake import read_lake
 from tarn.streaming.ingest import stream_ingest
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
