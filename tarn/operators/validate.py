@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarn.functions.pointers import INDEX_STEP
 from tarn.plans.columns import as_list, bind, quoted, top
 from tarn.plans.rules import add_errors
-from tarn.plans.schema import check_schema
+from tarn.plans.schema import check_schema, holds
 from tarn.plans.typed import add_typed
 
 
@@ -66,7 +67,9 @@ def error_report(
     each = checked.where(F.size(top(errors)) > 0).select(
         *groups, top(key).alias("_key"), F.explode(top(errors)).alias("_error")
     )
-    path = F.regexp_replace(F.col("_error.path"), r"/(0|[1-9][0-9]*)(?=/|$)", "/*")
+    path = F.col("_error.path")
+    if holds(check_schema(schema), T.ArrayType):
+        path = F.regexp_replace(path, INDEX_STEP, "/*")
     return (
         each.select(*groups, "_key", path.alias("path"), F.col("_error.code").alias("code"))
         .groupBy(*groups, "path", "code")
