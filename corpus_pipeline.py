@@ -1,4 +1,4 @@
-"""From raw documents to shards: filter by quality, decontaminate, mix and shard.
+"""From raw documents to shards: filter by quality, drop near duplicates, decontaminate, mix and shard.
 
 Each stage takes all rows its predecessor kept. ``run`` writes a stage as Parquet
 in the shared work folder and reads it again as the next one's documents.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontaminate, mixing, quality, sharding
+from tarn.llm import decontaminate, mixing, near_dup, quality, sharding
 from tarn.llm.queries import fold, table
 from tarn.session import staged
 
@@ -20,6 +20,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1).select(*COLUMNS)
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates stays."""
+    return near_dup.keep_one(docs).select(*COLUMNS)
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
@@ -37,6 +42,7 @@ def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality_stage),
+    ("MinHash near-dedup", near_dup_stage),
     ("benchmark decontamination", decontaminate_stage),
     ("mixing to target weights", mix_stage),
     ("sharding", shard_stage),

@@ -74,10 +74,10 @@ WITH item AS (
 ), doc AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lower("text")}, {word}) AS w FROM documents
 ), sizes AS (SELECT DISTINCT size FROM windows),
-at AS (
+spans AS (
   SELECT r, size, k, array_to_string(w[k : k + size - 1], ' ') AS gram
   FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM doc, sizes WHERE len(w) >= size)
-), hits AS (SELECT r, k, size, item FROM at JOIN windows USING (size, gram)),
+), hits AS (SELECT r, k, size, item FROM spans JOIN windows USING (size, gram)),
 spots AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hits) GROUP BY r),
 owners AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
@@ -88,6 +88,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN spots USING (r) LEFT JOIN owners USING (r)"""
 
 
+def line_dedup_sql(min_words: int = 50) -> str:
+    return f"""
+WITH doc AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(text)) AS r, doc_id, text FROM documents),
+line AS (
+  SELECT r, i, s, len(list_filter(string_split_regex(s, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS words
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS s, unnest(range(len(string_split(text, chr(10))))) AS i FROM doc)
+), whole AS (
+  SELECT *, row_number() OVER w AS k, CAST(sum(words) OVER w AS BIGINT) AS upto FROM line WHERE words > 0
+  WINDOW w AS (PARTITION BY r ORDER BY i)
+), sequence AS (SELECT r, list(s ORDER BY k) AS lines, list(upto ORDER BY k) AS upto, list(words ORDER BY k) AS words FROM whole GROUP BY r),
+spans AS (
+  SELECT w.r, w.k AS a, q.n AS b FROM whole w JOIN sequence s USING (r),
+    LATERAL (SELECT min(n) AS n FROM (SELECT unnest(range(w.k, len(s.upto) + 1)) AS n) WHERE s.upto[n] >= w.upto - w.words + {min_words}) q
+  WHERE q.n IS NOT NULL
+  UNION
+  SELECT w.r, q.n, w.k FROM whole w JOIN sequence s USING (r),
+    LATERAL (SELECT max(n) AS n FROM (SELECT unnest(range(1, w.k + 1)) AS n) WHERE s.upto[n] - s.words[n] <= w.upto - {min_words}) q
+  WHERE q.n IS NOT NULL
+), content AS (
+  SELECT r, a, b, array_to_string(lines[a:b], chr(10)) AS run, b - a AS d FROM spans JOIN sequence USING (r)
+), head AS (SELECT run, d, min((r, a)) AS h FROM content GROUP BY run, d),
+gone AS (
+  SELECT DISTINCT r, unnest(range(a, b + 1)) AS k FROM content JOIN head USING (run, d) WHERE (r, a) > h
+), begins AS (SELECT r, count(*) AS n_deleted, count(*) FILTER (WHERE k - coalesce(p, -1) <> 1) AS n_runs
+  FROM (SELECT r, k, lag(k) OVER (PARTITION BY r ORDER BY k) AS p FROM gone) GROUP BY r),
+kept AS (
+  SELECT l.r, string_agg(l.s, chr(10) ORDER BY l.i) AS text FROM line l
+  LEFT JOIN whole w ON w.r = l.r AND w.i = l.i LEFT JOIN gone g ON g.r = w.r AND g.k = w.k
+  WHERE g.r IS NULL GROUP BY l.r
+), n AS (SELECT r, count(*) AS n_lines FROM whole GROUP BY r)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(n_runs, 0) AS n_runs,
+  CASE WHEN doc.text IS NOT NULL THEN md5(coalesce(kept.text, '')) END AS kept_md5
+FROM doc LEFT JOIN n USING (r) LEFT JOIN begins USING (r) LEFT JOIN kept USING (r)"""
+
+
 def mixing_sql(targets: dict = mixing.TARGETS, rounds: int = mixing.ROUNDS) -> str:
     names = list(targets)
     steps = []
@@ -114,7 +149,7 @@ def mixing_sql(targets: dict = mixing.TARGETS, rounds: int = mixing.ROUNDS) -> s
 WITH r AS (
   SELECT *, CASE WHEN contains(lower(coalesce(text, '')), 'license') OR contains(lower(coalesce(text, '')), 'rights reserved') THEN 'licence'
     WHEN contains(coalesce(text, ''), '@') OR contains(coalesce(text, ''), '://') THEN 'contact' ELSE 'prose' END AS topic,
-    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '')) AS BIGINT) AS n_tokens
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n_tokens
   FROM documents
 ), cells AS (
   SELECT {", ".join(f"coalesce({n}, '') AS {n}" for n in names)}, CAST(sum(n_tokens) AS DOUBLE) AS tokens
@@ -135,5 +170,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_format": chat_sql(),
         "op3_sharding": sharding_sql(),
         "op4_decontaminate": decontaminate_sql(),
+        "op5_line_dedup": line_dedup_sql(),
         "op8_mixing": mixing_sql(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat_format, decontaminate, language, mixing, quality, sharding
+from tarn.llm import chat_format, decontaminate, language, line_dedup, mixing, near_dup, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select("doc_id", "n_lines", "n_deleted", "n_runs", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = language.learn(docs, fold("doc_id", 5) != 0)
@@ -65,5 +71,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
