@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat_format, decontaminate, language, line_dedup, mixing, near_dup, quality, sharding
+from tarn.llm import (
+    chat_format,
+    decontaminate,
+    language,
+    language_model,
+    line_dedup,
+    mixing,
+    near_dup,
+    quality,
+    sharding,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,5 +85,10 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.score_documents(docs, fold("doc_id", 5) == 1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
