@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the accepted form, yyyy-MM-dd[THH:mm[:ss[.S...]][Z|+hh:mm|-hh:mm]].
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
 # Fixed value: the tail that says which zone a date-time is in.
-ZONE = r"T.*(Z|[+-]\d{2}:\d{2})$"
+ZONE = r"T.*(Z|[+-]\d{2}:\d{2})\z"
 
 
 def iso_timestamp(text: Column) -> Column:

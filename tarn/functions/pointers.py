@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tarn.plans.schema import ANY_INDEX
 
-# What RFC 6901 accepts as a pointer, and as an array index in one.
-POINTER = r"^(/([^~/]|~[01])*)*$"
-INDEX_STEP = r"/(0|[1-9][0-9]*)(?=/|$)"
+# What RFC 6901 does not accept in a pointer, and what it accepts as an
+# array index in one. Neither repeats a group: Java would recurse on a long path.
+BAD_ESCAPE = r"~([^01]|\z)"
+INDEX_STEP = r"/(0|[1-9][0-9]*)(?=/|\z)"
 
 
 def is_pointer(path: Column) -> Column:
-    return path.rlike(POINTER)
+    return (path == "") | (path.startswith("/") & ~path.rlike(BAD_ESCAPE))
 
 
 def has_index(path: Column) -> Column:

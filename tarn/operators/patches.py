@@ -6,7 +6,7 @@ each node; those are found by a partial aggregation before anything is shuffled
 by entity, and number no more than the nodes the entity's row can hold. Which
 patches were refused on the way is a separate question (an index was in range or
 not at that point of the log), answered by an ordered scan that cuts the log of
-a busy entity into chunks.
+a busy entity into ranges.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tarn.functions.pointers import any_index, has_index, is_pointer, steps
 from tarn.plans.columns import as_list, bind, compiled_once, quoted, top
 from tarn.plans.patching import (
+    all_updated,
     array_depth,
     array_lengths,
     index_positions,
@@ -27,34 +28,47 @@ from tarn.plans.patching import (
     sets_lengths,
     updated,
 )
-from tarn.plans.rules import ERROR_TYPE, describe, no_errors
-from tarn.plans.schema import Node, check_schema, node_tree
+from tarn.plans.rules import ERROR_TYPE, checks, child, describe, no_errors
+from tarn.plans.schema import Node, SchemaError, check_schema, node_tree
+from tarn.plans.typed import typed_value
+from tarn.session import staged
 
-# Fixed value: into how many runs of equal weight the scan cuts a log. A run of
-# one entity then holds about a thousandth of all patches at most.
-CHUNKS = 1024
+REJECT_COLUMNS = ["op", "path", "code", "depth", "errors", "raw"]
 
-REJECT_COLUMNS = ["op", "path", "code", "depth", "errors"]
+# Columns that judging adds to a log, and that attaching adds to entities.
+JUDGED = ["op", "path", "value", "raw", "path_id", "depth", "idx", "code", "errors"]
+ATTACHED = ["patches", "last_seq"]
 
 
 def read_patch_log(
-    source: DataFrame | str, key: str | list[str], seq: str, doc: str = "doc", spark: SparkSession | None = None
+    source: DataFrame | str,
+    key: str | list[str],
+    seq: str,
+    doc: str = "doc",
+    spark: SparkSession | None = None,
+    key_schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Patch documents as rows ``(key, seq, op, path, value)``.
+    """Patch documents as rows ``(key, seq, op, path, value, raw)``.
 
     ``source`` is a table with the key, the sequence number and the document
     text, as a message log gives them, or the path of JSON lines holding
-    ``key, seq, op, path, value``. ``value`` stays a VARIANT: null where the document
-    has none, a VARIANT null where it says null.
+    ``key, seq, op, path, value``; ``key_schema`` then gives the types of the keys
+    (BIGINT if it does not), and a key or number of another type is null. ``value``
+    stays a VARIANT: null where the document has none, a VARIANT null where it says
+    null. ``raw`` keeps the text of documents that are not JSON objects.
     """
     keys = as_list(key)
+    _refuse([*keys, seq], JUDGED)
     if isinstance(source, str):
-        lines = spark.read.text(source)
-        parsed = bind(lines, "_doc", F.try_parse_json("value"))
-        ids = [F.try_variant_get("_doc", f"$['{k}']", "bigint").alias(k) for k in (*keys, seq)]
+        doc = "value"
+        parsed = bind(spark.read.text(source), "_doc", F.try_parse_json(doc))
+        declared = check_schema(key_schema) if key_schema else T.StructType([])
+        types = {f.name: f.dataType for f in declared.fields}
+        ids = [_exactly(k, types.get(k, T.LongType())).alias(k) for k in (*keys, seq)]
     else:
         parsed = bind(source, "_doc", F.try_parse_json(top(doc)))
         ids = [top(k) for k in (*keys, seq)]
+    is_object = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT<"), F.lit(False))
 
     def text(name: str) -> Column:
         v = F.try_variant_get("_doc", f"$.{name}", "variant")
@@ -65,11 +79,27 @@ def read_patch_log(
         text("op").alias("op"),
         text("path").alias("path"),
         F.try_variant_get("_doc", "$.value", "variant").alias("value"),
+        F.when(~is_object, F.coalesce(top(doc), F.lit(""))).alias("raw"),
     )
 
 
+def _refuse(names: list[str], taken: list[str]) -> None:
+    bad = [n for n in names if n.lower() in taken]
+    if bad:
+        raise SchemaError(f"these names are taken: {bad}")
+
+
+def _exactly(name: str, dtype: T.DataType) -> Column:
+    """A field of the document, null where it has another type than declared."""
+    value = child(F.col("_doc"), name)
+    fits = checks(value, dtype)[0]
+    return F.when(value.isNotNull() & fits, typed_value(value, dtype))
+
+
 def _tree(schema: T.DataType | str) -> Node:
-    return node_tree(check_schema(schema))
+    dtype = check_schema(schema)
+    _refuse(dtype.names if isinstance(dtype, T.StructType) else [], ATTACHED)
+    return node_tree(dtype)
 
 
 @compiled_once
@@ -111,8 +141,9 @@ def _value_errors(dtype: T.DataType) -> Column:
 
 def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     """Add ``path_id``, ``idx`` (the numbers in the path), and the verdict that
-    needs no entity: ``code`` is null, ``unsupported_op``, ``invalid_path`` or
-    ``invalid_patch``, with ``errors`` of the value under full paths."""
+    needs no entity: ``code`` is null, ``malformed`` (the document is no JSON object),
+    ``unsupported_op``, ``invalid_path`` or ``invalid_patch``, with ``errors`` of the
+    value under full paths."""
     root = _tree(schema)
     pid = F.col("path_id")
     resolved = resolve_paths(patches, schema)
@@ -147,23 +178,48 @@ def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
             e.getField("found").alias("found"),
         ),
     )
+    if "raw" not in checked.columns:
+        checked = checked.withColumn("raw", F.lit(None).cast("string"))
     code = (
-        F.when(F.col("op").isNull() | (F.col("op") != "replace"), "unsupported_op")
+        F.when(F.col("raw").isNotNull(), "malformed")
+        .when(F.col("op").isNull() | (F.col("op") != "replace"), "unsupported_op")
         .when(pid.isNull(), "invalid_path")
         .when(F.size("_errors") > 0, "invalid_patch")
     )
     return checked.withColumn("code", code).withColumn("errors", full).drop("_errors")
 
 
+def judge_log(patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str) -> DataFrame:
+    """``validate_patches``, and what the log as a whole refuses: a patch without key
+    or sequence number is ``no_key`` or ``no_seq``, and patches of one entity with the
+    same number are all ``duplicate_seq``, as their order is unknown.
+
+    The log is parsed and judged once and written to the work folder; the operators
+    below read it from several sides. They judge a log themselves unless they are told
+    ``judged=True``."""
+    keys = as_list(key)
+    _refuse([*keys, seq], JUDGED)
+    no_key = F.greatest(*[top(k).isNull() for k in keys], F.lit(False))
+    early = F.when(no_key, "no_key").when(top(seq).isNull(), "no_seq").otherwise(F.col("code"))
+    once = staged(validate_patches(patches, schema).withColumn("code", early), "judged")
+    known = once.where(~no_key & top(seq).isNotNull())
+    twice = duplicate_seqs(known, keys, seq).select(*[quoted(k) for k in keys], quoted(seq), F.lit(True).alias("_twice"))
+    marked = once.join(twice, [*keys, seq], "left")
+    code = F.when(F.col("_twice"), F.lit("duplicate_seq")).otherwise(F.col("code"))
+    return marked.withColumn("code", code).select(*[top(c) for c in once.columns])
+
+
 def _accepted(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("code").isNull())
 
 
-def _checked(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
-    return patches if "code" in patches.columns else validate_patches(patches, schema)
+def _checked(patches: DataFrame, schema: T.DataType | str, keys: list[str], seq: str, judged: bool) -> DataFrame:
+    return patches if judged else judge_log(patches, schema, keys, seq)
 
 
-def compact_patch_log(patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str) -> DataFrame:
+def compact_patch_log(
+    patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str, judged: bool = False
+) -> DataFrame:
     """Keep the latest valid patch of each node of each entity. Applying what is
     kept gives the same entities as the whole log.
 
@@ -173,7 +229,7 @@ def compact_patch_log(patches: DataFrame, schema: T.DataType | str, key: str | l
     before its shuffle, so a busy entity arrives already reduced.
     """
     keys = as_list(key)
-    good = _accepted(_checked(patches, schema))
+    good = _accepted(_checked(patches, schema, keys, seq, judged))
     latest = F.max_by(F.struct(top(seq).alias("seq"), "path_id", "idx", "value"), top(seq))
     return (
         good.groupBy(*[quoted(k) for k in keys], "path")
@@ -192,9 +248,12 @@ def duplicate_seqs(patches: DataFrame, key: str | list[str], seq: str) -> DataFr
 # -- array lengths ---------------------------------------------------------------
 
 
-def _entity_lengths(entities: DataFrame, root: Node, keys: list[str], level: int) -> DataFrame:
-    """The array lengths of the entities as they come: they stand before the whole
-    log, or right after ``last_seq`` where the entities carry that column."""
+def _entity_lengths(entities: DataFrame, asked: DataFrame, root: Node, keys: list[str], level: int) -> DataFrame:
+    """The array lengths of the entities that ``asked`` names, as they come: they
+    stand before the whole log, or right after ``last_seq`` where the entities carry
+    that column. Other entities are left out before their arrays are looked at."""
+    named = [quoted(k) for k in keys]
+    entities = entities.join(asked.select(*named).distinct(), keys, "left_semi")
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
     at = F.col("last_seq") if "last_seq" in entities.columns else F.lit(None)
     lengths = array_lengths(root, row, F.lit(""), level).alias("_lengths")
@@ -224,7 +283,7 @@ def _reachable(entities: DataFrame, latest: DataFrame, root: Node, keys: list[st
     for level in range(array_depth(root)):
         settled = latest.where(F.size("idx") <= level)
         pending = latest.where(F.size("idx") > level).withColumn("inst", _array_path(root, level))
-        start = _entity_lengths(entities, root, keys, level)
+        start = _entity_lengths(entities, pending, root, keys, level)
         changes = _length_changes(settled, root, keys, seq, level)
         lengths = (
             start.unionByName(changes)
@@ -245,14 +304,19 @@ def _reachable(entities: DataFrame, latest: DataFrame, root: Node, keys: list[st
 
 
 def attach_patches(
-    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
+    entities: DataFrame,
+    patches: DataFrame,
+    schema: T.DataType | str,
+    key: str | list[str],
+    seq: str,
+    judged: bool = False,
 ) -> DataFrame:
     """Put on each entity's row the patches that make its new state, in order,
     as ``patches``, with ``last_seq``, the newest of them. The log is compacted on
     the way, so the array is bounded by the size of the entity. Where the
     entities carry ``last_seq`` already, patches up to it are left out."""
     root, keys = _tree(schema), as_list(key)
-    latest = compact_patch_log(patches, schema, keys, seq)
+    latest = compact_patch_log(patches, schema, keys, seq, judged)
     if array_depth(root):
         latest = _reachable(entities, latest, root, keys, seq)
     entry = F.struct(top(seq).alias("seq"), F.col("path"), F.col("path_id"), F.col("idx"), F.col("value"))
@@ -275,7 +339,12 @@ def attach_patches(
 
 
 def apply_patch_log(
-    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
+    entities: DataFrame,
+    patches: DataFrame,
+    schema: T.DataType | str,
+    key: str | list[str],
+    seq: str,
+    judged: bool = False,
 ) -> DataFrame:
     """The entities after the whole log, each patch in order of ``seq``. A
     refused patch changes nothing (``patch_rejects`` lists them) and entities
@@ -283,13 +352,9 @@ def apply_patch_log(
     next log, it makes patches that were applied before, or come late, count for
     nothing."""
     root, keys = _tree(schema), as_list(key)
-    attached = attach_patches(entities, patches, schema, keys, seq)
+    attached = attach_patches(entities, patches, schema, keys, seq, judged)
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
-    folded = F.aggregate(
-        "patches",
-        row,
-        lambda state, p: updated(root, state, p["path_id"], p["idx"], p["value"]),
-    )
+    folded = all_updated(root, row, F.col("patches"))
     done = bind(attached, "_state", F.when(F.col("patches").isNotNull(), folded).otherwise(row))
     fields = {c.name for c in root.children}
     return done.select(
@@ -347,25 +412,14 @@ def _last_before(events: DataFrame, group: list[str], value: str, query: str) ->
     before ``_at``, as ``_last``.
 
     A plain window would bring all rows of a busy group to one task. The rows are
-    cut into chunks holding equal shares of all rows, by quantiles of ``_at``; a
-    window runs inside each chunk, and a second one over one summary row
-    per chunk carries values across. Rows with no ``_at`` come before all others.
+    range-partitioned by group and ``_at``, so a busy group spreads over many
+    partitions of like size, and written with their partition's number. A window runs
+    inside each (group, partition), and a second one over one summary row for each
+    carries values across. Rows with no ``_at`` come before all others.
     """
-    marks = [i / CHUNKS for i in range(1, CHUNKS)]
-    # One row of at most CHUNKS numbers, read by the driver like the sample
-    # behind a range partitioning.
-    found = events.select(F.percentile_approx("_at", marks, 10 * CHUNKS).alias("q")).first()["q"]
-    bounds = F.array(*[F.lit(int(b)) for b in sorted(set(found or []))]).cast("array<bigint>")
-    halves = F.array(*[F.lit(2**i) for i in reversed(range((CHUNKS - 1).bit_length()))])
-    # A binary search: how many bounds are below the row's place.
-    chunk = F.aggregate(
-        halves,
-        F.lit(0),
-        lambda at, step: at
-        + F.when(F.coalesce(F.get(bounds, at + step - 1) < F.col("_at"), F.lit(False)), step).otherwise(0),
-    )
-    placed = events.withColumn("_chunk", F.when(F.col("_at").isNull(), -1).otherwise(chunk))
     names = [quoted(g) for g in group]
+    ranged = events.repartitionByRange(*names, "_at", "_base")
+    placed = staged(ranged.withColumn("_chunk", F.spark_partition_id()), "ordered")
     earlier = Window.partitionBy(*names, "_chunk").orderBy("_at", "_base").rowsBetween(Window.unboundedPreceding, -1)
     inside = placed.withColumn("_inside", F.last(value, ignorenulls=True).over(earlier)).where(query)
     totals = placed.groupBy(*names, "_chunk").agg(
@@ -378,13 +432,18 @@ def _last_before(events: DataFrame, group: list[str], value: str, query: str) ->
 
 
 def path_in_data(
-    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
+    entities: DataFrame,
+    patches: DataFrame,
+    schema: T.DataType | str,
+    key: str | list[str],
+    seq: str,
+    judged: bool = False,
 ) -> DataFrame:
     """The statically valid patches with ``in_data``: does the path exist in the
     entity at that point of the log? Only paths with indexes can fail, so only
     those, and the patches that set arrays, are put in order."""
     root, keys = _tree(schema), as_list(key)
-    good = _accepted(_checked(patches, schema))
+    good = _accepted(_checked(patches, schema, keys, seq, judged))
     depth = array_depth(root)
     if not depth:
         return good.withColumn("in_data", F.lit(True))
@@ -403,7 +462,7 @@ def path_in_data(
             _array_path(root, level).alias("inst"),
             payload.alias("_patch"),
         )
-        start = _entity_lengths(entities, root, keys, level)
+        start = _entity_lengths(entities, asked, root, keys, level)
         changes = _length_changes(setters, root, keys, seq, level)
         events = start.unionByName(changes).unionByName(asked, allowMissingColumns=True)
         known = _last_before(events, [*keys, "inst"], "len", "_patch IS NOT NULL")
@@ -432,13 +491,18 @@ def unknown_entities(entities: DataFrame, patches: DataFrame, key: str | list[st
 
 
 def patch_rejects(
-    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
+    entities: DataFrame,
+    patches: DataFrame,
+    schema: T.DataType | str,
+    key: str | list[str],
+    seq: str,
+    judged: bool = False,
 ) -> DataFrame:
     """Every refused patch with the reason: ``(key, seq, op, path, code, depth,
-    errors)``. Codes are those of ``validate_patches``, ``unknown_entity``, and
+    errors, raw)``. Codes are those of ``judge_log``, ``unknown_entity``, and
     ``invalid_path`` for an index that was out of range when the patch came."""
     keys = as_list(key)
-    checked = _checked(patches, schema)
+    checked = _checked(patches, schema, keys, seq, judged)
     columns = [*[top(k) for k in keys], top(seq), *REJECT_COLUMNS]
     static = checked.where(F.col("code").isNotNull()).select(*columns)
     good = _accepted(checked)
@@ -446,6 +510,6 @@ def patch_rejects(
     unknown = good.join(orphans, keys, "left_semi").withColumn("code", F.lit("unknown_entity")).select(*columns)
     if not array_depth(_tree(schema)):
         return static.unionByName(unknown)
-    out = path_in_data(entities, checked, schema, keys, seq).where(~F.col("in_data"))
+    out = path_in_data(entities, checked, schema, keys, seq, judged=True).where(~F.col("in_data"))
     out = out.join(orphans, keys, "left_anti").withColumn("code", F.lit("invalid_path")).select(*columns)
     return static.unionByName(unknown).unionByName(out)

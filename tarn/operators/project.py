@@ -156,7 +156,7 @@ def to_json_docs(df: DataFrame, schema: T.DataType | str, keep: list[str] = (),
     dtype = check_schema(schema)
     if not isinstance(dtype, T.StructType):
         raise SchemaError("a document needs a struct schema")
-    doc = F.to_json(F.struct(*[top(f.name) for f in dtype.fields]), JSON_TIME)
+    doc = F.to_json(F.struct(*[top(f.name) for f in dtype.fields]), {**JSON_TIME, "ignoreNullFields": "false"})
     return df.select(*[top(c) for c in keep], doc.alias(name))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.plans.columns import bind, concat_arrays, top
-from tarn.plans.rules import _child
+from tarn.plans.rules import child
 from tarn.plans.schema import ANY_INDEX, check_schema, escape, holds, is_leaf
 
 
@@ -40,7 +40,7 @@ def _records(value: Column, dtype: T.DataType, path: str) -> Column:
     shown = path.replace(ANY_INDEX, "*")
     own = F.array(F.struct(F.lit(shown).alias("path"), shape_of(value).alias("shape")))
     nested = [
-        _records(_child(value, f.name), f.dataType, f"{path}/{escape(f.name)}")
+        _records(child(value, f.name), f.dataType, f"{path}/{escape(f.name)}")
         for f in dtype.fields
         if holds(f.dataType, T.StructType)
     ]

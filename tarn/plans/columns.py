@@ -57,7 +57,10 @@ def compiled_once(build: Callable[..., Column]) -> Callable[..., Column]:
 
     @wraps(build)
     def call(dtype: T.DataType, *names: str) -> Column:
-        key = (id(SparkContext._active_spark_context), dtype.json(), *names)
+        session = SparkContext._active_spark_context.applicationId
+        if built and next(iter(built))[0] != session:
+            built.clear()  # columns of a session that was stopped
+        key = (session, dtype.json(), *names)
         if key not in built:
             built[key] = build(dtype, *names)
         return built[key]

@@ -21,7 +21,7 @@ LENGTHS_TYPE = "array<struct<inst:string,len:int>>"
 def _pattern(path: str) -> str:
     """A regular expression for the concrete paths of a schema path."""
     steps = path.split("/")[1:]
-    return "^" + "".join("/" + (r"(0|[1-9][0-9]*)" if s == ANY_INDEX else re.escape(s)) for s in steps) + "$"
+    return "^" + "".join("/" + (r"(0|[1-9][0-9]*)" if s == ANY_INDEX else re.escape(s)) for s in steps) + r"\z"
 
 
 def path_id(root: Node, path: Column) -> Column:
@@ -77,7 +77,7 @@ def array_depth(root: Node) -> int:
     return max(len(n.index_steps) for n in root.walk())
 
 
-def updated(node: Node, current: Column, pid: Column, idx: Column, value: Column, typed=None) -> Column:
+def updated(node: Node, current: Column, pid: Column, idx: Column, value: Column) -> Column:
     """``current`` with one node replaced. An index out of range changes nothing.
 
     The result follows the schema: at each node, either it is the target, or
@@ -85,23 +85,92 @@ def updated(node: Node, current: Column, pid: Column, idx: Column, value: Column
     numbers make the second test one range check, so only the parts of the
     schema on the way to the target are walked.
     """
-    typed = typed or typed_value
-    target = F.when(pid == node.id, typed(value, node.dtype))
+    target = F.when(pid == node.id, typed_value(value, node.dtype))
     if not node.children:
         return target.otherwise(current)
     if isinstance(node.dtype, T.StructType):
-        parts = [updated(c, current.getField(c.name), pid, idx, value, typed) for c in node.children]
+        parts = [updated(c, current.getField(c.name), pid, idx, value) for c in node.children]
         below = struct_of(node.dtype, parts)
     else:
         item = node.children[0]
         at = F.get(idx, F.lit(len(item.index_steps) - 1))
         below = F.transform(
             current,
-            lambda x, i: F.when(i.cast("bigint") == at, updated(item, x, pid, idx, value, typed)).otherwise(x),
+            lambda x, i: F.when(i.cast("bigint") == at, updated(item, x, pid, idx, value)).otherwise(x),
         )
     return target.when((pid > node.id) & (pid <= node.end), below).otherwise(current)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def all_updated(node: Node, current: Column, patches: Column) -> Column:
+    """``current`` after an ordered array of patches ``(seq, path_id, idx, value)``,
+    in one walk over the schema instead of one fold step per patch.
+
+    At each node, only its own last patch and the later ones below it count. Under an
+    array, items and patches are sorted together by index, so that each item takes
+    the run of patches behind it; time grows with items and patches, not with their
+    product. Patches past the end of an array change nothing.
+    """
+    own = F.filter(patches, lambda p: p["path_id"] == node.id)
+    changed = F.size(patches) > 0
+    if not node.children:
+        return F.when(changed, typed_value(F.element_at(own, -1)["value"], node.dtype)).otherwise(current)
+
+    def below(last: Column) -> Column:
+        base = F.when(last.isNotNull(), typed_value(last["value"], node.dtype)).otherwise(current)
+        later = F.filter(
+            patches, lambda p: (p["path_id"] != node.id) & F.coalesce(p["seq"] > last["seq"], F.lit(True))
+        )
+        return _let(F.struct(base.alias("base"), later.alias("later")), _children)
+
+    def _children(v: Column) -> Column:
+        base, later = v["base"], v["later"]
+        if isinstance(node.dtype, T.StructType):
+            parts = [all_updated(c, base.getField(c.name), _under(c, later)) for c in node.children]
+            return F.when(F.size(later) > 0, struct_of(node.dtype, parts)).otherwise(base)
+        return F.when(F.size(later) > 0, _items(node, base, later)).otherwise(base)
+
+    return F.when(changed, _let(F.try_element_at(own, F.lit(-1)), below)).otherwise(current)
+
+
+def _under(node: Node, patches: Column) -> Column:
+    return F.filter(patches, lambda p: p["path_id"].between(node.id, node.end))
+
+
+def _items(node: Node, items: Column, patches: Column) -> Column:
+    """The items of an array after the patches below it."""
+    item = node.children[0]
+    level = len(item.index_steps) - 1
+
+    def entry(index: Column, order: Column) -> Column:
+        return F.struct(index.cast("bigint").alias("index"), order.cast("int").alias("order"))
+
+    # An item is its place with order -1; a patch follows with its own place.
+    marks = F.transform(items, lambda x, i: entry(i, F.lit(-1)))
+    asked = F.transform(patches, lambda p, k: entry(F.get(p["idx"], F.lit(level)), k))
+    asked = F.filter(asked, lambda e: e["index"] < F.size(items))
+    merged = F.array_sort(F.concat(marks, asked))
+
+    def placed(m: Column) -> Column:
+        spots = F.filter(F.transform(m, lambda e, s: F.when(e["order"] < 0, s)), lambda s: s.isNotNull())
+        return _let(F.struct(m.alias("m"), F.concat(spots, F.array(F.size(m))).alias("s")), rebuilt)
+
+    def rebuilt(v: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            start, end = F.get(v["s"], i), F.get(v["s"], i + 1)
+            mine = F.slice(v["m"], start + 2, end - start - 1)
+            own = F.transform(mine, lambda e: F.get(patches, e["order"]))
+            return F.when(end - start > 1, _let(own, lambda q: all_updated(item, x, q))).otherwise(x)
+
+        return F.transform(items, one)
+
+    return _let(merged, placed)
+
+
 def array_lengths(node: Node, value: Column, path: Column, level: int) -> Column:
     """The lengths of all arrays at or below a typed value whose own path has
     ``level`` index steps, as ``(concrete path, length)``."""

@@ -128,7 +128,8 @@ def checks(nodes: Column, dtype: T.DataType) -> list[Column]:
 FAILED_TYPE = "struct<path:string,expected:string,v:variant>"
 
 
-def _child(v: Column, name: str) -> Column:
+def child(v: Column, name: str) -> Column:
+    """A field of a document as a variant, null if it has none."""
     quote = "'" if "'" not in name else '"'
     return F.try_variant_get(v, f"$[{quote}{name}{quote}]", "variant")
 
@@ -170,7 +171,7 @@ def failed_nodes(
             each = [F.when(~next_ok(x, f.dataType), _failed(step, f.dataType, x)) for x, f, step in steps]
             parts.append(F.array(*each))
         else:
-            parts.extend(failed_nodes(x, _child(raw, f.name), f.dataType, step, next_ok) for x, f, step in steps)
+            parts.extend(failed_nodes(x, child(raw, f.name), f.dataType, step, next_ok) for x, f, step in steps)
     return F.when(nodes.isNotNull(), concat_arrays(parts)).otherwise(F.array(own))
 
 

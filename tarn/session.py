@@ -58,10 +58,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread_out_scan(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of a few small files. Checking documents costs
-    far more than moving them, and one file of one row group is one task. Inputs
-    that already have enough parts, as large ones do, are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

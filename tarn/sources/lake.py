@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.operators.validate import decode, parse_docs, validate
+from tarn.operators.project import mismatches
 from tarn.plans.columns import top
 from tarn.plans.schema import SchemaError, check_schema
 
@@ -19,11 +20,17 @@ def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parquet_as(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Parquet read under a declared schema. Unsupported types are refused
-    before anything is read; only the declared columns are scanned."""
+    """Parquet read under a declared schema. Unsupported types, and declared
+    columns that the files lack or hold in another type, are refused before any
+    row is read; only the declared columns are scanned."""
     dtype = check_schema(schema)
     if not isinstance(dtype, T.StructType):
         raise SchemaError("a table needs a struct schema")
+    found = spark.read.parquet(path).schema
+    declared = T.StructType([f for f in found.fields if f.name in dtype.names])
+    issues = [i for i in mismatches(declared, dtype) if i[1] != "nothing"]
+    if issues:
+        raise SchemaError("the files do not fit: " + "; ".join(f"{p} is {found}, not {wanted}" for p, wanted, found in issues))
     return spark.read.schema(dtype).parquet(path)
 
 

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tarn.operators.patches import REJECT_COLUMNS, apply_patch_log, patch_rejects, read_patch_log, validate_patches
+from tarn.operators.patches import (
+    REJECT_COLUMNS,
+    apply_patch_log,
+    judge_log,
+    patch_rejects,
+    read_patch_log,
+    validate_patches,
+)
 from tarn.plans.columns import as_list, top
-from tarn.session import staged
+
+
+# Fixed value: a row for each version of the entities.
+COMMIT = "version BIGINT, stream STRING, batch BIGINT"
 
 
 def stream_patch_log(
@@ -53,11 +63,11 @@ def fold_patches(
     The patches are joined with the entities' marks only to report: a join by
     entity ahead of the aggregations would bring a busy entity to one task."""
     keys = as_list(key)
-    judged = patches if "code" in patches.columns else validate_patches(patches, schema)
-    after = apply_patch_log(entities, judged, schema, keys, seq)
+    judged = judge_log(patches, schema, keys, seq)
+    after = apply_patch_log(entities, judged, schema, keys, seq, judged=True)
     marks = entities.select(*[top(k) for k in keys], F.col("last_seq").alias("_mark")).where("_mark IS NOT NULL")
     late = judged.join(marks, keys).where(top(seq) <= F.col("_mark")).withColumn("code", F.lit("stale_seq"))
-    refused = patch_rejects(entities, judged, schema, keys, seq).join(marks, keys, "left")
+    refused = patch_rejects(entities, judged, schema, keys, seq, judged=True).join(marks, keys, "left")
     refused = refused.where(F.col("_mark").isNull() | (top(seq) > F.col("_mark"))).drop("_mark")
     return after, refused.unionByName(late.select(*[top(k) for k in keys], top(seq), *REJECT_COLUMNS))
 
@@ -66,7 +76,7 @@ def latest_version(spark: SparkSession, out: str) -> int | None:
     """The last committed version of the entities. Only ``commits`` counts: a
     version folder without a commit is a write that failed."""
     try:
-        commits = spark.read.schema("version BIGINT").parquet(f"{out}/commits")
+        commits = spark.read.schema(COMMIT).parquet(f"{out}/commits")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -74,6 +84,13 @@ def latest_version(spark: SparkSession, out: str) -> int | None:
     return commits.agg(F.max("version")).first()[0]
 
 
+def _version_of(spark: SparkSession, out: str, stream: str, batch_id: int) -> int | None:
+    """The version that a stream's batch made, if it was committed."""
+    commits = spark.read.schema(COMMIT).parquet(f"{out}/commits")
+    own = commits.where((F.col("stream") == stream) & (F.col("batch") == batch_id))
+    return own.agg(F.max("version")).first()[0]
+
+
 def read_entities(spark: SparkSession, out: str) -> DataFrame:
     version = latest_version(spark, out)
     if version is None:
@@ -88,34 +105,38 @@ def start_entities(entities: DataFrame, out: str) -> None:
         return
     first = entities if "last_seq" in entities.columns else entities.withColumn("last_seq", F.lit(None).cast("bigint"))
     first.write.mode("overwrite").parquet(f"{out}/entities/version=-1")
-    _commit(spark, out, -1)
+    _commit(spark, out, -1, "", -1)
 
 
-def _commit(spark: SparkSession, out: str, version: int) -> None:
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").parquet(f"{out}/commits")
+def _commit(spark: SparkSession, out: str, version: int, stream: str, batch_id: int) -> None:
+    row = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version"), F.lit(stream).alias("stream"), F.lit(batch_id).cast("bigint").alias("batch")
+    )
+    row.write.mode("append").parquet(f"{out}/commits")
 
 
 def fold_batch(
-    schema: T.DataType | str, key: str | list[str], seq: str, out: str, doc: str | None = "doc"
+    schema: T.DataType | str, key: str | list[str], seq: str, out: str, doc: str | None = "doc", stream: str = ""
 ) -> Callable[[DataFrame, int], None]:
     """The body of a micro-batch: fold it onto the last version, write the next
-    version and the rejects under the batch's number, commit last. A batch that is
-    run again finds its commit and does nothing, or overwrites what it left."""
+    version and the rejects under its number, commit last. Versions have a counter of
+    their own; a commit names the stream (its checkpoint, say) and its batch. So a batch
+    that is run again finds its commit and does nothing, or overwrites what it left, and
+    a stream with a new checkpoint counts from 0 without losing anything."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = latest_version(spark, out)
         if version is None:
             raise ValueError(f"call start_entities for {out} first")
-        if version >= batch_id:
+        if _version_of(spark, out, stream, batch_id) is not None:
             return
         before = spark.read.parquet(f"{out}/entities/version={version}")
         patches = batch if doc is None else read_patch_log(batch, key, seq, doc)
-        patches = staged(validate_patches(patches, schema), "judged")
         after, rejects = fold_patches(before, patches, schema, key, seq)
-        after.write.mode("overwrite").parquet(f"{out}/entities/version={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={batch_id}")
-        _commit(spark, out, batch_id)
+        after.write.mode("overwrite").parquet(f"{out}/entities/version={version + 1}")
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={version + 1}")
+        _commit(spark, out, version + 1, stream, batch_id)
 
     return run
 
@@ -137,7 +158,7 @@ def stream_apply_patches(
     rewrites the table. Where that is too much, use ``stream_patch_log`` and fold
     its table with ``fold_patches`` when a new version is due."""
     start_entities(entities, out)
-    writer = docs.writeStream.foreachBatch(fold_batch(schema, key, seq, out, doc)).option(
+    writer = docs.writeStream.foreachBatch(fold_batch(schema, key, seq, out, doc, checkpoint)).option(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -147,5 +168,5 @@ def current_entities(
     entities: DataFrame, log_path: str, schema: T.DataType | str, key: str | list[str], seq: str
 ) -> DataFrame:
     """The entities with all patches of a ``stream_patch_log`` table applied."""
-    judged = entities.sparkSession.read.parquet(log_path).where(F.col("valid") == F.lit(True)).drop("valid")
-    return apply_patch_log(entities, judged, schema, key, seq)
+    log = entities.sparkSession.read.parquet(log_path).where(F.col("valid") == F.lit(True))
+    return apply_patch_log(entities, log.select(*as_list(key), seq, "op", "path", "value", "raw"), schema, key, seq)

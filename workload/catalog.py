@@ -19,7 +19,7 @@ from tarn.session import staged, work_dir
 from tarn.sources.lake import read_json_docs, read_lake, read_parquet_as, write_lake
 from tarn.streaming.ingest import stream_ingest
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
-from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, entities, event_docs, patch_docs, spread_table, table
+from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, entities, event_docs, patch_docs, table
 
 LINEITEM_SCHEMA = "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP"
 KEY, SEQ = "c_custkey", "seq"
@@ -40,7 +40,7 @@ def _log(spark, sf_dir) -> DataFrame:
 def _judged(spark, sf_dir) -> DataFrame:
     """The log judged against the schema once, for queries that read it from
     several sides."""
-    return staged(patches.validate_patches(_log(spark, sf_dir), ENTITY_SCHEMA), "judged")
+    return staged(patches.judge_log(_log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ), "judged")
 
 
 def _join_errors(field: str):
@@ -157,7 +157,7 @@ def q_to_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_round_trip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, with all their quotes, accents and line ends, to JSON and back."""
     schema = "doc_id BIGINT, text STRING, lang STRING, source STRING"
-    rows = spread_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     docs = parse_docs(project.to_json_docs(rows, schema))
     good, _ = split_valid(docs, schema)
     back = project.to_rows(good, schema)
@@ -166,7 +166,7 @@ def q_round_trip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_round_trip_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
-    docs = parse_docs(project.to_json_docs(spread_table(spark, sf_dir, "conversations"), schema))
+    docs = parse_docs(project.to_json_docs(table(spark, sf_dir, "conversations"), schema))
     back = project.to_rows(split_valid(docs, schema)[0], schema)
     return back.select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("md5"))
 
@@ -174,7 +174,7 @@ def q_round_trip_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_round_trip_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays of floats to JSON and back, item by item."""
     schema = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
-    docs = parse_docs(project.to_json_docs(spread_table(spark, sf_dir, "embeddings"), schema))
+    docs = parse_docs(project.to_json_docs(table(spark, sf_dir, "embeddings"), schema))
     back = project.to_rows(split_valid(docs, schema)[0], schema)
     items = back.select("vec_id", "label", F.posexplode("embedding").alias("pos", "v"))
     return items.select("vec_id", "label", "pos", F.col("v").cast("double").alias("v"))
@@ -272,7 +272,7 @@ def q_validate_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_path_in_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = patches.path_in_data(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
+    placed = patches.path_in_data(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ, judged=True)
     return placed.select(KEY, SEQ, "path", "in_data")
 
 
@@ -307,14 +307,14 @@ def q_apply_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = patches.patch_rejects(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
+    out = patches.patch_rejects(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ, judged=True)
     return out.select(KEY, SEQ, "op", "path", "code")
 
 
 def q_patch_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log under keys eleven times as large, some of them no customer's."""
     log = _judged(spark, sf_dir).withColumn(KEY, F.col(KEY) * 11)
-    out = patches.patch_rejects(entities(spark, sf_dir), log, ENTITY_SCHEMA, KEY, SEQ)
+    out = patches.patch_rejects(entities(spark, sf_dir), log, ENTITY_SCHEMA, KEY, SEQ, judged=True)
     return out.select(KEY, SEQ, "path", "code")
 
 
@@ -364,7 +364,7 @@ def q_stream_apply_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_generate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A random record per event, as a document, judged: all must fit."""
-    rows = generate.generate_rows(spread_table(spark, sf_dir, "events"), EVENT_SCHEMA, "event_id", seed=7)
+    rows = generate.generate_rows(table(spark, sf_dir, "events"), EVENT_SCHEMA, "event_id", seed=7)
     docs = parse_docs(project.to_json_docs(rows, EVENT_SCHEMA, keep=["event_id"]))
     return validate(docs, EVENT_SCHEMA).select("event_id", F.size("errors").alias("n_errors"))
 
@@ -380,7 +380,7 @@ def q_generate_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_corrupt_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents broken in a known place, judged: found is what was put in."""
-    rows = generate.generate_rows(spread_table(spark, sf_dir, "events"), EVENT_SCHEMA, "event_id", seed=3)
+    rows = generate.generate_rows(table(spark, sf_dir, "events"), EVENT_SCHEMA, "event_id", seed=3)
     broken = generate.corrupt_docs(rows, EVENT_SCHEMA, "event_id", 0.5, seed=3)
     first = F.get("errors", F.lit(0))
     checked = validate(parse_docs(broken), EVENT_SCHEMA)
