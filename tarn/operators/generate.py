@@ -102,12 +102,21 @@ def _pick(node: Node, value: Column, path: Column, level: int, depth: Column, se
 
 
 def generate_patches(
-    entities: DataFrame, schema: T.DataType | str, key: str | list[str], seed: int = 0, max_items: int = 4
+    entities: DataFrame,
+    schema: T.DataType | str,
+    key: str | list[str],
+    n: int = 1,
+    seed: int = 0,
+    max_items: int = 4,
 ) -> DataFrame:
-    """One random ``replace`` patch per entity as ``(key, path, doc)``: on a
-    node that exists in it, 1 to 10 steps deep, with a value that fits."""
+    """``n`` random ``replace`` patches per entity as ``(key, nth, path, doc)``: each on
+    a node that exists in the entity as it is given, 1 to 10 steps deep, with a value
+    that fits. So the first of an entity is never refused, and a later one only where
+    an earlier one made an array shorter."""
     root = node_tree(check_schema(schema))
-    keys = [top(k) for k in as_list(key)]
+    named = [top(k) for k in as_list(key)]
+    entities = entities.withColumn("_nth", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) if n > 0 else entities.limit(0).withColumn("_nth", F.lit(0))
+    keys = [*named, F.col("_nth")]
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
     depth = F.pmod(_hash(seed, "depth", *keys), F.lit(MAX_DEPTH)) + 1
     picked = entities.select(*keys, _pick(root, row, F.lit(""), 0, depth, seed, keys).alias("_at"))
@@ -122,7 +131,7 @@ def generate_patches(
     doc = F.concat(
         F.lit('{"op":"replace","path":'), json_text(F.col("_at.path")), F.lit(',"value":'), value, F.lit("}")
     )
-    return picked.select(*keys, F.col("_at.path").alias("path"), doc.alias("doc"))
+    return picked.select(*named, F.col("_nth").alias("nth"), F.col("_at.path").alias("path"), doc.alias("doc"))
 
 
 # -- broken documents ----------------------------------------------------------------

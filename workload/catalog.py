@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tarn.functions.dates import zoneless_as_utc
 from tarn.operators import generate, order, patches, project, shapes
@@ -21,7 +22,10 @@ from tarn.streaming.ingest import stream_ingest
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
 from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, entities, event_docs, patch_docs, table
 
-LINEITEM_SCHEMA = "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP"
+LINEITEM_SCHEMA = (
+    "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP"
+)
 KEY, SEQ = "c_custkey", "seq"
 
 
@@ -63,11 +67,16 @@ def q_read_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_read_parquet_as(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_parquet_as(spark, f"{sf_dir}/lineitem.parquet", LINEITEM_SCHEMA)
-    return rows.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.unix_millis("l_shipdate").alias("ms"))
+    return rows.withColumn("l_shipdate", F.unix_millis("l_shipdate"))
 
 
 def q_read_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _log(spark, sf_dir).select(KEY, SEQ, "op", "path", F.schema_of_variant("value").isNotNull().alias("has_value"))
+    is_text = F.schema_of_variant("value") == "STRING"
+    return _log(spark, sf_dir).select(
+        KEY, SEQ, "op", "path",
+        F.when(is_text, F.try_variant_get("value", "$", "string")).alias("txt"),
+        F.when(~is_text, F.try_variant_get("value", "$", "double")).alias("num"),
+    )
 
 
 def q_write_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +100,10 @@ def _lake_result(spark: SparkSession, path: str) -> DataFrame:
 # -- projections -----------------------------------------------------------------
 
 
+def _items(column: str):
+    return F.array_join(F.transform(column, lambda x: F.concat(x["p"].cast("string"), F.lit(":"), x["q"])), ",").alias("items")
+
+
 def q_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = decode(_docs(spark, sf_dir), EVENT_SCHEMA)
     return rec.select(
@@ -103,21 +116,25 @@ def q_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rec.big",
         F.col("rec.user.id").alias("user_id"),
         F.col("rec.user.k").alias("user_k"),
-        F.size("rec.items").alias("n_items"),
+        _items("rec.items"),
         F.col("rec.tags")[0].alias("tag"),
     )
 
 
 def q_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project.to_rows(_good(spark, sf_dir), EVENT_SCHEMA)
-    return rows.select("id", F.unix_micros("at").alias("at_us"), "kind", "amount", "big", F.col("user.k").alias("k"))
+    return rows.select(
+        "id", F.unix_micros("at").alias("at_us"), "kind", "amount", F.col("ratio").cast("double").alias("ratio"), "big",
+        F.col("user.id").alias("user_id"), F.col("user.k").alias("user_k"), _items("items"), F.array_join("tags", ",").alias("tags"),
+    )
 
 
 def q_flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project.to_rows(_good(spark, sf_dir), EVENT_SCHEMA)
     flat = project.flatten_paths(rows, EVENT_SCHEMA)
     return flat.select(
-        "id", "kind", "user_id", "user_k", F.array_join(F.col("items_p").cast("array<string>"), ",").alias("items_p"),
+        "id", F.unix_micros("at").alias("at_us"), "kind", "amount", F.col("ratio").cast("double").alias("ratio"), "big",
+        "user_id", "user_k", F.array_join(F.col("items_p").cast("array<string>"), ",").alias("items_p"),
         F.array_join("items_q", ",").alias("items_q"), F.array_join("tags", ",").alias("tags"),
     )
 
@@ -150,7 +167,9 @@ def q_to_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     get = lambda p: F.get_json_object("raw", p)
     return docs.select(
         "id", get("$.at").alias("at"), get("$.kind").alias("kind"), get("$.amount").cast("double").alias("amount"),
-        get("$.user.k").cast("int").alias("k"), get("$.tags[0]").alias("tag"),
+        get("$.ratio").cast("double").alias("ratio"), get("$.big").cast("boolean").alias("big"),
+        get("$.user.id").cast("int").alias("user_id"), get("$.user.k").cast("int").alias("user_k"),
+        get("$.items").alias("items"), get("$.tags[0]").alias("tag"),
     )
 
 
@@ -244,11 +263,19 @@ def q_shape_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_shape_registry_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shapes.shape_registry_nested(_docs(spark, sf_dir), EVENT_SCHEMA, "event_id").where("example_path <> ''")
+    return shapes.shape_registry_nested(_docs(spark, sf_dir), EVENT_SCHEMA, "event_id")
 
 
 def q_sort_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.sort_values(table(spark, sf_dir, "lineitem").select("l_quantity", "l_orderkey"), "l_quantity")
+    """Whole rows in order; each row's place, so that the order itself is compared."""
+    rows = order.sort_values(table(spark, sf_dir, "lineitem"), "l_quantity")
+    rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()), "sorted")
+    part, inside = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    placed = rows.withColumn("_part", part).join(starts, "_part")
+    return placed.select((F.col("_start") + inside).alias("place"), "l_quantity")
 
 
 def q_sort_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,16 +304,18 @@ def q_path_in_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_apply_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    once = patches.apply_patch(entities(spark, sf_dir), "/profile/segment", '"NEW"', ENTITY_SCHEMA).drop("patch_code")
+    """Two patches on each customer; the second needs a list of two or more scores."""
+    base = entities(spark, sf_dir).withColumn("scores", F.slice("scores", F.lit(1), (F.col(KEY) % 4).cast("int")))
+    once = patches.apply_patch(base, "/profile/segment", '"NEW"', ENTITY_SCHEMA).withColumnRenamed("patch_code", "first_code")
     twice = patches.apply_patch(once, "/scores/1", "42", ENTITY_SCHEMA)
-    return _entity_columns(twice).withColumn("code", F.lit(None).cast("string"))
+    return _entity_columns(twice, "first_code", "patch_code")
 
 
-def _entity_columns(df: DataFrame) -> DataFrame:
+def _entity_columns(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         KEY, F.col("profile.name").alias("name"), F.col("profile.segment").alias("segment"),
         F.col("profile.balance").alias("balance"),
-        F.array_join(F.col("scores").cast("array<string>"), ",").alias("scores"), "active",
+        F.array_join(F.col("scores").cast("array<string>"), ",").alias("scores"), "active", *more,
     )
 
 
@@ -318,6 +347,42 @@ def q_patch_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(KEY, SEQ, "path", "code")
 
 
+def q_patch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each patch of a log with missing keys, missing and repeated
+    numbers and broken documents: refused with a code, applied, or overwritten."""
+    log, at = patch_docs(spark, sf_dir), F.col(SEQ)
+    broken = log.select(
+        F.when(at % 97 != 0, F.col(KEY)).alias(KEY),
+        F.when(at % 89 == 1, None).when(at % 7 == 3, at - at % 300).otherwise(at).alias(SEQ),
+        F.when(at % 61 == 5, F.lit("oops")).otherwise(F.col("doc")).alias("doc"),
+    )
+    judged = staged(patches.judge_log(patches.read_patch_log(broken, KEY, SEQ), ENTITY_SCHEMA, KEY, SEQ), "judged")
+    base = entities(spark, sf_dir)
+    refused = patches.patch_rejects(base, judged, ENTITY_SCHEMA, KEY, SEQ, judged=True).select(F.col("code").alias("outcome"), F.lit(1).alias("n"))
+    good = patches.path_in_data(base, judged, ENTITY_SCHEMA, KEY, SEQ, judged=True).where("in_data")
+    kept = patches.attach_patches(base, judged, ENTITY_SCHEMA, KEY, SEQ, judged=True).select(
+        F.coalesce(F.size("patches"), F.lit(0)).alias("n")
+    )
+    rows = refused.unionByName(good.select(F.lit("overwritten").alias("outcome"), F.lit(1).alias("n")))
+    rows = rows.unionByName(kept.select(F.lit("applied").alias("outcome"), "n"))
+    rows = rows.unionByName(kept.select(F.lit("overwritten").alias("outcome"), (-F.col("n")).alias("n")))
+    return rows.groupBy("outcome").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def q_patch_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten patches on items of each vector, some of them past its end."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    log = vectors.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias(SEQ))
+    index = ((F.col("vec_id") * 7 + F.col(SEQ) * F.col(SEQ)) % 70).cast("string")
+    doc = F.concat(
+        F.lit('{"op":"replace","path":"/embedding/'), index, F.lit('","value":'), F.col(SEQ).cast("string"), F.lit("}")
+    )
+    log = patches.read_patch_log(log.withColumn("doc", doc), "vec_id", SEQ)
+    done = patches.apply_patch_log(vectors, log, "embedding ARRAY<FLOAT>", "vec_id", SEQ)
+    items = done.select("vec_id", F.posexplode("embedding").alias("pos", "v"))
+    return items.select("vec_id", "pos", F.col("v").cast("double").alias("v"))
+
+
 def q_duplicate_seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence numbers of the log cut to the hour: some now occur twice."""
     hours = table(spark, sf_dir, "events").select(
@@ -370,12 +435,14 @@ def q_generate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_generate_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A random patch per customer, judged: the first one of an entity never fails."""
+    """Three random patches per customer, judged: all fit the schema, and the first
+    one of an entity never fails."""
     base = entities(spark, sf_dir)
-    made = generate.generate_patches(base, ENTITY_SCHEMA, KEY, seed=7)
-    log = patches.read_patch_log(made.withColumn(SEQ, F.lit(1).cast("bigint")), KEY, SEQ)
+    made = generate.generate_patches(base, ENTITY_SCHEMA, KEY, n=3, seed=7)
+    log = patches.read_patch_log(made.withColumn(SEQ, F.col("nth").cast("bigint")), KEY, SEQ)
     placed = patches.path_in_data(base, log, ENTITY_SCHEMA, KEY, SEQ)
-    return placed.select(KEY, "in_data")
+    first = F.bool_or((F.col(SEQ) == 0) & F.col("in_data"))
+    return placed.groupBy(KEY).agg(F.count("*").alias("n_patches"), first.alias("first_in_data"))
 
 
 def q_corrupt_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,8 @@ def _rule_sql(rule: str) -> str:
     return DOCS + "SELECT * FROM (" + " UNION ALL ".join(rows) + ") WHERE code IS NOT NULL"
 
 
+ITEMS_JSON = """CASE n WHEN 0 THEN '[]' WHEN 1 THEN '[{"p":1,"q":"i1"}]' ELSE '[{"p":1,"q":"i1"},{"p":2,"q":"i2"}]' END"""
+
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
 
 LEAVES = DOCS + f"""
@@ -114,8 +116,10 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "read_json_docs": DOCS
         + """SELECT event_id, CASE WHEN f <> 1 THEN event_type END AS kind, CASE WHEN f = 10 THEN true END AS extra FROM d""",
-        "read_parquet_as": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, epoch_ms(l_shipdate) AS ms FROM lineitem""",
-        "read_patch_log": PATCHES + "SELECT c_custkey, seq, 'replace' AS op, path, true AS has_value FROM q",
+        "read_parquet_as": "SELECT * REPLACE (epoch_ms(l_shipdate) AS l_shipdate) FROM lineitem",
+        "read_patch_log": PATCHES
+        + """SELECT c_custkey, seq, 'replace' AS op, path, CASE t WHEN 'click' THEN CAST(k AS VARCHAR) WHEN 'error' THEN 'yes' END AS txt,
+          CAST(CASE t WHEN 'view' THEN value WHEN 'purchase' THEN k WHEN 'signup' THEN k END AS DOUBLE) AS num FROM q""",
         "write_lake": LAKE,
         "stream_ingest": LAKE,
         "decode": DOCS
@@ -123,20 +127,22 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN f >= 4 THEN event_type END AS kind, CASE WHEN f >= 4 THEN value END AS amount,
           CASE WHEN f >= 4 THEN CAST(CAST(value / 100 AS FLOAT) AS DOUBLE) END AS ratio,
           CASE WHEN f >= 4 THEN value > 50 END AS big, CASE WHEN f >= 4 THEN CAST(user_id AS INTEGER) END AS user_id,
-          CASE WHEN f >= 4 THEN k END AS user_k, CASE WHEN f >= 4 THEN CAST(n AS INTEGER) END AS n_items,
+          CASE WHEN f >= 4 THEN k END AS user_k, CASE WHEN f >= 4 THEN CASE n WHEN 0 THEN '' WHEN 1 THEN '1:i1' ELSE '1:i1,2:i2' END END AS items,
           CASE WHEN f >= 4 THEN event_type END AS tag FROM d""",
         "to_rows": DOCS
-        + "SELECT event_id AS id, epoch_us(ts) AS at_us, event_type AS kind, value AS amount, value > 50 AS big, k FROM good",
+        + """SELECT event_id AS id, epoch_us(ts) AS at_us, event_type AS kind, value AS amount, CAST(CAST(value / 100 AS FLOAT) AS DOUBLE) AS ratio, value > 50 AS big,
+          CAST(user_id AS INTEGER) AS user_id, k AS user_k, CASE n WHEN 0 THEN '' WHEN 1 THEN '1:i1' ELSE '1:i1,2:i2' END AS items, event_type AS tags FROM good""",
         "flatten_paths": DOCS
-        + """SELECT event_id AS id, event_type AS kind, CAST(user_id AS INTEGER) AS user_id, k AS user_k,
+        + """SELECT event_id AS id, epoch_us(ts) AS at_us, event_type AS kind, value AS amount, CAST(CAST(value / 100 AS FLOAT) AS DOUBLE) AS ratio, value > 50 AS big,
+          CAST(user_id AS INTEGER) AS user_id, k AS user_k,
           CASE n WHEN 0 THEN '' WHEN 1 THEN '1' ELSE '1,2' END AS items_p,
           CASE n WHEN 0 THEN '' WHEN 1 THEN 'i1' ELSE 'i1,i2' END AS items_q, event_type AS tags FROM good""",
         "explode_nodes": LEAVES,
-        "avro_layout": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, epoch_ms(l_shipdate) AS l_shipdate FROM lineitem""",
-        "from_avro_layout": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag,
-          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM lineitem""",
+        "avro_layout": "SELECT * REPLACE (epoch_ms(l_shipdate) AS l_shipdate) FROM lineitem",
+        "from_avro_layout": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem",
         "to_json_docs": DOCS
-        + f"SELECT event_id AS id, {ISO} AS at, event_type AS kind, value AS amount, k, event_type AS tag FROM good",
+        + f"SELECT event_id AS id, {ISO} AS at, event_type AS kind, value AS amount, CAST(CAST(CAST(value / 100 AS FLOAT) AS VARCHAR) AS DOUBLE) AS ratio, value > 50 AS big, "
+        + f"CAST(user_id AS INTEGER) AS user_id, k AS user_k, {ITEMS_JSON} AS items, event_type AS tag FROM good",
         "round_trip_documents": "SELECT doc_id, lang, source, CAST(length(text) AS INTEGER) AS n, md5(text) AS md5 FROM documents",
         "round_trip_conversations": "SELECT conv_id, turn, role, md5(text) AS md5 FROM conversations",
         "round_trip_embeddings": """SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
@@ -172,8 +178,11 @@ def oracle_sql() -> dict[str, str]:
           min(path) AS example_path, min(event_id) AS example FROM (
             SELECT event_id, '/user' AS path, 1 AS n,
               'OBJECT<id: BIGINT, k: ' || CASE WHEN f = 0 THEN 'STRING' ELSE 'BIGINT' END || '>' AS shape FROM d
-            UNION ALL SELECT event_id, '/items/*', n, 'OBJECT<p: BIGINT, q: STRING>' FROM d WHERE n > 0) GROUP BY shape""",
-        "sort_values": "SELECT l_quantity, l_orderkey FROM lineitem ORDER BY l_quantity",
+            UNION ALL SELECT event_id, '/items/*', n, 'OBJECT<p: BIGINT, q: STRING>' FROM d WHERE n > 0
+            UNION ALL SELECT event_id, '', 1, """
+        + SHAPE
+        + " FROM d) GROUP BY shape",
+        "sort_values": "SELECT row_number() OVER (ORDER BY l_quantity) - 1 AS place, l_quantity FROM lineitem",
         "sort_arrays": """SELECT vec_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS pos, CAST(unnest(s) AS DOUBLE) AS v
           FROM (SELECT vec_id, list_sort(embedding) AS s FROM embeddings)""",
         "resolve_paths": PATCHES
@@ -184,8 +193,29 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN t = 'error' THEN '/active' ELSE '' END AS error_paths,
           CASE WHEN t = 'error' THEN 'type' ELSE '' END AS error_codes FROM q""",
         "path_in_data": PATCHES + "SELECT c_custkey, seq, path, i IS NULL OR i < 3 AS in_data FROM fits",
-        "apply_patch": """SELECT c_custkey, c_name AS name, 'NEW' AS segment, c_acctbal AS balance, '1,42,3' AS scores,
-          true AS active, CAST(NULL AS VARCHAR) AS code FROM customer""",
+        "apply_patch": """SELECT c_custkey, c_name AS name, 'NEW' AS segment, c_acctbal AS balance,
+          CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN '1' WHEN 2 THEN '1,42' ELSE '1,42,3' END AS scores,
+          true AS active, CAST(NULL AS VARCHAR) AS first_code,
+          CASE WHEN c_custkey % 4 < 2 THEN 'invalid_path' END AS patch_code FROM customer""",
+        "patch_outcomes": PATCHES
+        + """, b AS (
+          SELECT CASE WHEN seq % 97 <> 0 THEN c_custkey END AS k1,
+            CASE WHEN seq % 89 = 1 THEN NULL WHEN seq % 7 = 3 THEN seq - seq % 300 ELSE seq END AS s1,
+            seq % 61 = 5 AS oops, t, i, path FROM q
+        ), judged AS (
+          SELECT *, CASE WHEN k1 IS NULL THEN 'no_key' WHEN s1 IS NULL THEN 'no_seq'
+            WHEN count(*) OVER (PARTITION BY k1, s1) > 1 THEN 'duplicate_seq' WHEN oops THEN 'malformed'
+            WHEN t = 'signup' OR i >= 3 THEN 'invalid_path' WHEN t = 'error' THEN 'invalid_patch' END AS code FROM b
+        )
+        SELECT outcome, count(*) AS n FROM (
+          SELECT coalesce(code, CASE WHEN s1 = max(s1) FILTER (code IS NULL) OVER (PARTITION BY k1, path)
+            THEN 'applied' ELSE 'overwritten' END) AS outcome FROM judged) GROUP BY outcome""",
+        "patch_embeddings": """WITH p AS (
+          SELECT vec_id, m, CAST((vec_id * 7 + m * m) % 70 AS INTEGER) AS pos FROM embeddings, range(10) r(m)
+        ), last AS (SELECT vec_id, pos, max(m) AS m FROM p GROUP BY ALL), item AS (
+          SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS v FROM embeddings
+        )
+        SELECT vec_id, pos, CAST(coalesce(last.m, v) AS DOUBLE) AS v FROM item LEFT JOIN last USING (vec_id, pos)""",
         "compact_patch_log": PATCHES + "SELECT c_custkey, max(seq) AS seq, path FROM fits GROUP BY c_custkey, path",
         "attach_patches": PATCHES
         + """, latest AS (SELECT c_custkey, path, max(seq) AS seq FROM applied GROUP BY ALL)
@@ -204,7 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_seqs": """SELECT user_id AS c_custkey, epoch_us(ts) // 3600000000 AS seq, count(*) AS n
           FROM events GROUP BY ALL HAVING count(*) > 1""",
         "generate_rows": "SELECT event_id, CAST(0 AS INTEGER) AS n_errors FROM events",
-        "generate_patches": "SELECT c_custkey, true AS in_data FROM customer",
+        "generate_patches": "SELECT c_custkey, CAST(3 AS BIGINT) AS n_patches, true AS first_in_data FROM customer",
         "corrupt_docs": "SELECT event_id, true AS agrees FROM events",
     }
     sql.update({rule: _rule_sql(rule) for rule in RULE_PASSES})
