@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,11 +52,34 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_open_scopes: list[list[str]] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables staged inside when it ends. For jobs that write
+    their result before that; a result that is still to be computed would miss them."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            delete(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to a work folder and read it back. For results that several
     branches of a plan read: each branch then scans only the rows and columns it
     needs, and a lost executor costs no recomputation."""
     path = work_dir(df.sparkSession, name)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +19,7 @@ from tarn.operators.patches import (
     validate_patches,
 )
 from tarn.plans.columns import as_list, top
+from tarn.session import delete, staged, staging
 
 
 # Fixed value: a row for each version of the entities.
@@ -91,20 +92,71 @@ def _version_of(spark: SparkSession, out: str, stream: str, batch_id: int) -> in
     return own.agg(F.max("version")).first()[0]
 
 
-def read_entities(spark: SparkSession, out: str) -> DataFrame:
-    version = latest_version(spark, out)
+# The table of entities is cut into so many parts by the hash of the key, and
+# so many versions of it stay readable.
+BUCKETS = 64
+KEPT_VERSIONS = 2
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*[top(k) for k in keys]), F.lit(BUCKETS)).cast("int")
+
+
+def _manifest(spark: SparkSession, out: str, version: int) -> dict[int, int]:
+    """For each bucket, the version that holds its rows; ``BUCKETS`` entries at most."""
+    rows = spark.read.schema("bucket INT, of INT").parquet(f"{out}/manifests/version={version}").collect()
+    return {r["bucket"]: r["of"] for r in rows}
+
+
+def _buckets(spark: SparkSession, out: str, manifest: dict[int, int], wanted: list[int]) -> DataFrame:
+    paths = [f"{out}/entities/version={manifest[b]}/_bucket={b}" for b in wanted]
+    if paths:
+        return spark.read.parquet(*paths)
+    some = next(iter(manifest.items()), None)
+    if some is None:
+        raise ValueError(f"{out} holds no entity")
+    return spark.read.parquet(f"{out}/entities/version={some[1]}/_bucket={some[0]}").limit(0)
+
+
+def read_entities(spark: SparkSession, out: str, version: int | None = None) -> DataFrame:
+    """The entities of the last committed version, or of an earlier one that is kept."""
+    version = latest_version(spark, out) if version is None else version
     if version is None:
         raise ValueError(f"no committed version in {out}")
-    return spark.read.parquet(f"{out}/entities/version={version}")
+    manifest = _manifest(spark, out, version)
+    return _buckets(spark, out, manifest, sorted(manifest))
+
+
+def _write_version(
+    spark: SparkSession, out: str, entities: DataFrame, keys: list[str], version: int, before: dict[int, int], touched: list[int]
+) -> None:
+    """Write the touched buckets and the manifest of a version."""
+    rows = entities.withColumn("_bucket", _bucket(keys))
+    rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{out}/entities/version={version}")
+    manifest = [(b, version if b in touched else of) for b, of in before.items()]
+    listed = spark.createDataFrame(manifest, "bucket INT, of INT").coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{out}/manifests/version={version}")
+
+
+def _drop_old(spark: SparkSession, out: str, version: int) -> None:
+    """Delete buckets that only versions beyond the kept ones name."""
+    old = version - KEPT_VERSIONS
+    if old < -1:
+        return
+    kept = _manifest(spark, out, old + 1)
+    for bucket, of in _manifest(spark, out, old).items():
+        if kept[bucket] != of:
+            delete(spark, f"{out}/entities/version={of}/_bucket={bucket}")
 
 
-def start_entities(entities: DataFrame, out: str) -> None:
+def start_entities(entities: DataFrame, out: str, key: str | list[str]) -> None:
     """Write the first version, before any patch."""
-    spark = entities.sparkSession
+    spark, keys = entities.sparkSession, as_list(key)
     if latest_version(spark, out) is not None:
         return
     first = entities if "last_seq" in entities.columns else entities.withColumn("last_seq", F.lit(None).cast("bigint"))
-    first.write.mode("overwrite").parquet(f"{out}/entities/version=-1")
+    used = [r[0] for r in first.select(_bucket(keys)).distinct().collect()]
+    _write_version(spark, out, first, keys, -1, dict.fromkeys(used, -1), used)
     _commit(spark, out, -1, "", -1)
 
 
@@ -118,8 +170,9 @@ def _commit(spark: SparkSession, out: str, version: int, stream: str, batch_id:
 def fold_batch(
     schema: T.DataType | str, key: str | list[str], seq: str, out: str, doc: str | None = "doc", stream: str = ""
 ) -> Callable[[DataFrame, int], None]:
-    """The body of a micro-batch: fold it onto the last version, write the next
-    version and the rejects under its number, commit last. Versions have a counter of
+    """The body of a micro-batch: fold it onto the buckets of entities that it touches,
+    write those, a manifest and the rejects as the next version, commit last, then drop
+    what no kept version names. Versions have a counter of
     their own; a commit names the stream (its checkpoint, say) and its batch. So a batch
     that is run again finds its commit and does nothing, or overwrites what it left, and
     a stream with a new checkpoint counts from 0 without losing anything."""
@@ -131,12 +184,17 @@ def fold_batch(
             raise ValueError(f"call start_entities for {out} first")
         if _version_of(spark, out, stream, batch_id) is not None:
             return
-        before = spark.read.parquet(f"{out}/entities/version={version}")
-        patches = batch if doc is None else read_patch_log(batch, key, seq, doc)
-        after, rejects = fold_patches(before, patches, schema, key, seq)
-        after.write.mode("overwrite").parquet(f"{out}/entities/version={version + 1}")
-        rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={version + 1}")
+        keys, manifest = as_list(key), _manifest(spark, out, version)
+        with staging(spark):
+            patches = staged(batch if doc is None else read_patch_log(batch, key, seq, doc), "batch")
+            named = patches.select(_bucket(keys)).distinct().collect()
+            touched = sorted({r[0] for r in named} & manifest.keys())
+            before = _buckets(spark, out, manifest, touched)
+            after, rejects = fold_patches(before, patches, schema, key, seq)
+            _write_version(spark, out, after, keys, version + 1, manifest, touched)
+            rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={version + 1}")
         _commit(spark, out, version + 1, stream, batch_id)
+        _drop_old(spark, out, version + 1)
 
     return run
 
@@ -154,10 +212,11 @@ def stream_apply_patches(
 ) -> StreamingQuery:
     """Keep a versioned table of entities up to date from a stream of patch
     documents. State lives in the table, so it is bounded by the entities, and
-    any version can be read while the stream runs. Use long triggers: each batch
-    rewrites the table. Where that is too much, use ``stream_patch_log`` and fold
+    the last versions can be read while the stream runs. A batch rewrites the buckets
+    that its keys fall in, which is all of them for a batch of many keys; where that
+    is too much, use ``stream_patch_log`` and fold
     its table with ``fold_patches`` when a new version is due."""
-    start_entities(entities, out)
+    start_entities(entities, out, key)
     writer = docs.writeStream.foreachBatch(fold_batch(schema, key, seq, out, doc, checkpoint)).option(
         "checkpointLocation", checkpoint
     )

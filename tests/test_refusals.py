@@ -113,7 +113,7 @@ def test_many_patches_on_a_long_array(spark):
 
 def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
     out = str(tmp_path / "entities")
-    start_entities(entities_of(spark, ["x", "y"]), out)
+    start_entities(entities_of(spark, ["x", "y"]), out, "k")
     docs = lambda s, v: spark.createDataFrame([("x", s, json.dumps({"op": "replace", "path": "/a", "value": v}))], "k STRING, seq BIGINT, doc STRING")
     old, new = (fold_batch(SCHEMA, "k", "seq", out, stream=name) for name in ("old", "new"))
     old(docs(1, 10), 0)
@@ -121,6 +121,10 @@ def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
     new(docs(3, 30), 0)
     new(docs(3, 30), 0)
     assert {r["k"]: r["a"] for r in read_entities(spark, out).collect()} == {"x": 30, "y": 1}
+    # Each batch on one key wrote one bucket, and only the kept versions are left.
+    written = {p.name: sorted(b.name for b in p.glob("_bucket=*")) for p in (tmp_path / "entities/entities").glob("version=*")}
+    assert len(written["version=-1"]) == 1 and written["version=0"] == [] and len(written["version=1"]) == len(written["version=2"]) == 1
+    assert {r["k"]: r["a"] for r in read_entities(spark, out, 1).collect()} == {"x": 20, "y": 1}
 
 
 def test_validation_has_no_exchange_and_a_log_is_parsed_once(spark):

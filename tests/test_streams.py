@@ -40,7 +40,7 @@ def test_batches_replays_and_late_patches(spark, tmp_path):
     out = str(tmp_path / "entities")
     entities, log = make_log(12, n=120)
     e, _ = to_frames(spark, entities, log)
-    start_entities(e, out)
+    start_entities(e, out, "k")
     run = fold_batch(SCHEMA, "k", "seq", out)
 
     def batch(part):

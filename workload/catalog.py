@@ -412,16 +412,21 @@ def q_stream_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_apply_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The body of the patch stream on two batches, the second run twice."""
+    """The body of the patch stream on two batches, the second run twice: the
+    entities, with what was refused of their patches."""
     out = work_dir(spark, "entities")
-    start_entities(entities(spark, sf_dir), out)
+    start_entities(entities(spark, sf_dir), out, KEY)
     run = fold_batch(ENTITY_SCHEMA, KEY, SEQ, out)
     log = patch_docs(spark, sf_dir)
     half = log.agg((F.max(SEQ) / 2).cast("bigint")).first()[0]
     run(log.where(F.col(SEQ) <= half), 0)
     run(log.where(F.col(SEQ) > half), 1)
     run(log.where(F.col(SEQ) > half), 1)
-    return _entity_columns(read_entities(spark, out))
+    refused = spark.read.parquet(f"{out}/rejects").groupBy(KEY).agg(
+        F.count_if(F.col("code") == "invalid_path").alias("bad_paths"), F.count_if(F.col("code") == "invalid_patch").alias("bad_values")
+    )
+    rows = read_entities(spark, out).join(refused, KEY, "left").fillna(0, ["bad_paths", "bad_values"])
+    return _entity_columns(rows, "bad_paths", "bad_values")
 
 
 # -- synthetic data --------------------------------------------------------------------

@@ -223,7 +223,10 @@ def oracle_sql() -> dict[str, str]:
           FROM customer c LEFT JOIN latest l ON l.c_custkey = c.c_custkey GROUP BY c.c_custkey""",
         "apply_patch_log": STATE,
         "stream_patch_log": STATE,
-        "stream_apply_patches": STATE,
+        "stream_apply_patches": PATCHES
+        + """SELECT s.*, coalesce(p, 0) AS bad_paths, coalesce(v, 0) AS bad_values FROM state s LEFT JOIN (
+          SELECT c_custkey, count(*) FILTER (t = 'signup' OR i >= 3) AS p, count(*) FILTER (t = 'error') AS v FROM q GROUP BY c_custkey
+        ) r ON r.c_custkey = s.c_custkey""",
         "patch_rejects": REJECTS,
         "patch_orphans": PATCHES
         + """SELECT q.c_custkey * 11 AS c_custkey, seq, path,
