@@ -1,4 +1,8 @@
-"""Validated ingest: every error of every document, good and bad apart."""
+"""Validated ingest: every error of every document, good and bad apart.
+
+Operators check documents themselves unless they are told ``checked=True``: then the
+``errors`` column is there already.
+"""
 
 from __future__ import annotations
 
@@ -27,44 +31,60 @@ def validate(df: DataFrame, schema: T.DataType | str, doc: str = "doc", errors:
 
 
 def decode(
-    df: DataFrame, schema: T.DataType | str, doc: str = "doc", rec: str = "rec", errors: str = "errors"
+    df: DataFrame,
+    schema: T.DataType | str,
+    doc: str = "doc",
+    rec: str = "rec",
+    errors: str = "errors",
+    checked: bool = False,
 ) -> DataFrame:
     """Add ``rec``: the typed value of documents without errors, null for the rest."""
     dtype = check_schema(schema)
-    if errors not in df.columns:
+    if not checked:
         df = validate(df, dtype, doc, errors)
     return add_typed(df, rec, F.when(F.size(top(errors)) == 0, top(doc)), dtype)
 
 
 def split_valid(
-    df: DataFrame, schema: T.DataType | str, doc: str = "doc", rec: str = "rec", errors: str = "errors"
+    df: DataFrame,
+    schema: T.DataType | str,
+    doc: str = "doc",
+    rec: str = "rec",
+    errors: str = "errors",
+    checked: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed good rows, and bad rows with all their errors."""
     dtype = check_schema(schema)
-    checked = df if errors in df.columns else validate(df, dtype, doc, errors)
-    good = checked.where(F.size(top(errors)) == 0).drop(errors)
+    found = df if checked else validate(df, dtype, doc, errors)
+    good = found.where(F.size(top(errors)) == 0).drop(errors)
     good = add_typed(good, rec, top(doc), dtype).drop(doc)
-    return good, checked.where(F.size(top(errors)) > 0).drop(doc)
+    return good, found.where(F.size(top(errors)) > 0).drop(doc)
 
 
 def first_incompatibility(
-    df: DataFrame, schema: T.DataType | str, key: str, doc: str = "doc", errors: str = "errors"
+    df: DataFrame, schema: T.DataType | str, key: str, doc: str = "doc", errors: str = "errors", checked: bool = False
 ) -> DataFrame:
     """For each document that does not fit, its first mismatch in schema order."""
-    checked = df if errors in df.columns else validate(df, schema, doc, errors)
-    first = checked.where(F.size(top(errors)) > 0).select(top(key), top(errors)[0].alias("_first"))
+    found = df if checked else validate(df, schema, doc, errors)
+    first = found.where(F.size(top(errors)) > 0).select(top(key), top(errors)[0].alias("_first"))
     return first.select(top(key), "_first.path", "_first.expected", "_first.found")
 
 
 def error_report(
-    df: DataFrame, schema: T.DataType | str, key: str, doc: str = "doc", errors: str = "errors", by: str | list[str] = ()
+    df: DataFrame,
+    schema: T.DataType | str,
+    key: str,
+    doc: str = "doc",
+    errors: str = "errors",
+    by: str | list[str] = (),
+    checked: bool = False,
 ) -> DataFrame:
     """What each source must fix: errors counted by path and code, with the
     smallest key as an example. Item numbers in paths are folded into ``*`` so
     that the report grows with the schema, not with the data."""
-    checked = df if errors in df.columns else validate(df, schema, doc, errors)
+    found = df if checked else validate(df, schema, doc, errors)
     groups = [quoted(c) for c in as_list(by)]
-    each = checked.where(F.size(top(errors)) > 0).select(
+    each = found.where(F.size(top(errors)) > 0).select(
         *groups, top(key).alias("_key"), F.explode(top(errors)).alias("_error")
     )
     path = F.col("_error.path")

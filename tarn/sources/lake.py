@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.operators.validate import decode, parse_docs, validate
+from tarn.operators.validate import decode, parse_docs
 from tarn.operators.project import mismatches
 from tarn.plans.columns import top
 from tarn.plans.schema import SchemaError, check_schema
 
 
+# Helper columns, under names that no source is likely to use.
+_REC, _ERRORS = "_lake_rec", "_lake_errors"
+
+
 def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
     """JSON documents, one per line, as ``(raw, doc)``. Nothing is assumed about
     them: the text is kept, and ``doc`` is null where it is not JSON."""
@@ -57,13 +61,13 @@ def lake_rows(df: DataFrame, schema: T.DataType | str, keep: list[str] = (), raw
     and ``_raw`` and ``_errors``, filled for bad ones; ``valid`` tells which."""
     dtype = check_schema(schema)
     _storable(dtype)
-    decoded = decode(df if "errors" in df.columns else validate(df, dtype), dtype)
-    valid = F.size("errors") == 0
+    decoded = decode(df, dtype, rec=_REC, errors=_ERRORS)
+    valid = F.size(_ERRORS) == 0
     return decoded.select(
         *[top(c) for c in keep],
-        *[F.col("rec").getField(f.name).alias(f.name) for f in dtype.fields],
+        *[F.col(_REC).getField(f.name).alias(f.name) for f in dtype.fields],
         F.when(~valid, top(raw)).alias("_raw"),
-        F.when(~valid, F.col("errors")).alias("_errors"),
+        F.when(~valid, F.col(_ERRORS)).alias("_errors"),
         valid.alias("valid"),
     )
 

@@ -84,6 +84,15 @@ def test_declared_columns_must_be_in_the_file(spark, tmp_path):
             read_parquet_as(spark, path, schema)
 
 
+def test_kept_columns_may_have_any_name(spark, tmp_path):
+    from tarn.operators.validate import parse_docs
+    from tarn.sources.lake import read_lake, write_lake
+
+    docs = spark.createDataFrame([('{"a":1}', "kept", "too"), ('{"a":"x"}', "kept", "too")], "raw STRING, errors STRING, rec STRING")
+    write_lake(parse_docs(docs), "a INT", str(tmp_path / "lake"), keep=["errors", "rec"])
+    assert read_lake(spark, str(tmp_path / "lake")).first().asDict() == {"errors": "kept", "rec": "too", "a": 1}
+
+
 def test_null_fields_stay_in_documents(spark):
     row = spark.sql("SELECT CAST(NULL AS INT) AS a, named_struct('c', CAST(NULL AS INT)) AS b")
     assert json.loads(to_json_docs(row, "a INT, b STRUCT<c: INT>").first()["raw"]) == {"a": None, "b": {"c": None}}
