@@ -13,8 +13,8 @@ frequent token is one entry per chunk, and no table of the model is ever gathere
 The weights are learned from a table of counts over rounded probabilities, whose
 size does not depend on the corpus.
 
-Hashes have 64 bits and stand for tokens and bigrams; two that share a hash would be
-counted as one.
+Hashes of 64 bits stand for tokens and hashes of 48 bits for bigrams; two that share a
+hash are counted as one (with 10**11 bigrams, one in 2,800 shares its hash).
 
 Defined cases: a null text is empty, and an empty text has the end token alone;
 without training tokens all weight lies on the uniform estimate; repeated rows are
@@ -41,28 +41,41 @@ EM_ROUNDS = 60
 
 _END = np.uint64(0xC2B2AE3D27D4EB4F)
 _PAIR = np.uint64(0x9FB21C651E98DF25)
+#: Bits of the hash of a token and of a bigram, by kind of request.
+_BITS = {1: 64, 2: 48}
 #: Steps of a rounded log2 probability, and how many there are; 0 stands for none.
 _FINE, _STEPS = 4, 192
 
 _CHUNK = "chunk BIGINT, doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, ids BINARY, entries BIGINT, tokens BIGINT, vocabulary BINARY"
 _REQUEST = "chunk BIGINT, kind INT, part INT, keys BINARY, counts BINARY"
 _ANSWER = "chunk BIGINT, kind INT, part INT, totals BINARY, all_tokens BIGINT, all_types BIGINT"
-_FACTS = "doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, single BINARY, before BINARY, pair BINARY"
+_FACTS = "doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, single BINARY, pair BINARY"
 _SCORES = "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Kind, length and compressed bytes of an array."""
+    """Kind, length and compressed bytes of an array, first bytes of all values first."""
     raw = np.ascontiguousarray(values)
     head = raw.dtype.str.encode().ljust(8) + len(raw).to_bytes(8, "little")
-    return head + pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+    planes = raw.view(np.uint8).reshape(len(raw), raw.dtype.itemsize).T.tobytes()
+    return head + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpack(blob: bytes) -> np.ndarray:
     kind, n = np.dtype(blob[:8].decode().strip()), int.from_bytes(blob[8:16], "little")
     if not n:
         return np.zeros(0, kind)
-    return np.frombuffer(pa.decompress(blob[16:], n * kind.itemsize, codec="zstd", asbytes=True), kind)
+    planes = np.frombuffer(pa.decompress(blob[16:], n * kind.itemsize, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind).ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending numbers, by their differences."""
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob), dtype=np.uint64)
 
 
 def _small(values: np.ndarray) -> np.ndarray:
@@ -97,7 +110,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made += 1
         row = [
             [(part << 32) + made], [ids], [held], [pack(_small(np.concatenate(sizes)))], [pack(_small(local))],
-            [len(vocabulary)], [len(local)], [pack(vocabulary)],
+            [len(vocabulary)], [len(local)], [pack_sorted(vocabulary)],
         ]
         return _batch(_CHUNK, row)
 
@@ -123,7 +136,7 @@ class _Chunk:
     def __init__(self, row: dict):
         self.sizes = unpack(row["sizes"]).astype(np.int64)
         self.ids = unpack(row["ids"]).astype(np.int64)
-        self.vocabulary = unpack(row["vocabulary"])
+        self.vocabulary = unpack_sorted(row["vocabulary"])
         self.train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
 
     def before(self) -> np.ndarray:
@@ -139,10 +152,8 @@ class _Chunk:
         hashes = words_of.mix(
             self.vocabulary[codes // len(self.vocabulary)] * _PAIR + self.vocabulary[codes % len(self.vocabulary)]
         )
-        order = np.argsort(hashes)
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        return hashes[order], rank[place]
+        keys, rank = np.unique(hashes >> np.uint64(64 - _BITS[2]), return_inverse=True)
+        return keys, rank[place]
 
 
 def _requests(kind: int, parts: int):
@@ -152,13 +163,13 @@ def _requests(kind: int, parts: int):
                 chunk = _Chunk(row)
                 keys, place = (chunk.vocabulary, chunk.ids) if kind == 1 else chunk.bigrams()
                 counts = np.bincount(place[chunk.train], minlength=len(keys))
-                edges = _edges(keys, parts)
+                edges = _edges(keys, parts, _BITS[kind])
                 used = [k for k in range(parts) if edges[k] < edges[k + 1]]
                 yield _batch(
                     _REQUEST,
                     [
                         [row["chunk"]] * len(used), [kind] * len(used), used,
-                        [pack(keys[edges[k] : edges[k + 1]]) for k in used],
+                        [pack_sorted(keys[edges[k] : edges[k + 1]]) for k in used],
                         [pack(_small(counts[edges[k] : edges[k + 1]])) for k in used],
                     ],
                 )
@@ -166,16 +177,16 @@ def _requests(kind: int, parts: int):
     return ask
 
 
-def _edges(keys: np.ndarray, parts: int) -> np.ndarray:
+def _edges(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
     """Where each of ``parts`` equal hash ranges begins among sorted keys."""
-    borders = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+    borders = np.array([(k << bits) // parts for k in range(1, parts)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, borders), [len(keys)]])
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Total counts of one hash range, for each chunk in the order it asked."""
     rows = table.to_pylist()
-    keys, counts = [unpack(r["keys"]) for r in rows], [unpack(r["counts"]) for r in rows]
+    keys, counts = [unpack_sorted(r["keys"]) for r in rows], [unpack(r["counts"]) for r in rows]
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.zeros(len(distinct), np.int64)
     np.add.at(totals, place, np.concatenate([c.astype(np.int64) for c in counts]))
@@ -194,7 +205,7 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def _to_facts(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-    """Counts of each token, its context and its bigram."""
+    """Counts of each token and its bigram."""
     out = []
     for row in _rows(chunks):
         chunk = _Chunk(row)
@@ -203,9 +214,19 @@ def _to_facts(chunks: pa.Table, answers: pa.Table) -> pa.Table:
             np.concatenate([unpack(r["totals"]).astype(np.int64) for r in got if r["kind"] == kind]) for kind in (1, 2)
         )
         _, place = chunk.bigrams()
-        facts = singles[chunk.ids], singles[chunk.before()], pairs[place]
+        facts = singles[chunk.ids], pairs[place]
         out.append([row["doc_ids"], row["held_out"], row["sizes"], *(pack(_small(f)) for f in facts)])
-    return pa.Table.from_batches([_batch(_FACTS, list(zip(*out)) if out else [[]] * 6)])
+    return pa.Table.from_batches([_batch(_FACTS, list(zip(*out)) if out else [[]] * 5)])
+
+
+def _counts(row: dict) -> tuple[np.ndarray, ...]:
+    """Of a row of facts: the texts' sizes, and counts of each token, of the token
+    before it (the end before a first one), and of its bigram."""
+    sizes, single, pair = (unpack(row[c]).astype(np.int64) for c in ("sizes", "single", "pair"))
+    before = np.empty_like(single)
+    before[1:] = single[:-1]
+    before[np.cumsum(sizes) - sizes] = single[-1]
+    return sizes, single, before, pair
 
 
 def _bucket(before: np.ndarray) -> np.ndarray:
@@ -230,8 +251,9 @@ def _deleted(n: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                train = np.repeat(~np.array(row["held_out"], bool), unpack(row["sizes"]).astype(np.int64))
-                single, before, pair = (unpack(row[c]).astype(np.int64)[train] - 1 for c in ("single", "before", "pair"))
+                sizes, *counts = _counts(row)
+                train = np.repeat(~np.array(row["held_out"], bool), sizes)
+                single, before, pair = (c[train] - 1 for c in counts)
                 cell = (_bucket(before) * _STEPS + _steps(_share(pair, before))) * _STEPS + _steps(_share(single, n - 1))
                 cells, counts = np.unique(cell, return_counts=True)
                 yield _batch("cell BIGINT, n BIGINT", [cells, counts])
@@ -270,8 +292,7 @@ def _score(n: int, v: int, weights: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                sizes = unpack(row["sizes"]).astype(np.int64)
-                single, before, pair = (unpack(row[c]).astype(np.int64) for c in ("single", "before", "pair"))
+                sizes, single, before, pair = _counts(row)
                 own = weights[_bucket(before)]
                 mixed = own[:, 0] * _share(pair, before) + own[:, 1] * _share(single, n) + own[:, 2] / (v + 1)
                 base = np.log10((single + 0.5) / (n + 0.5 * (v + 1)))
