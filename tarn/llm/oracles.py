@@ -123,6 +123,24 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_dele
 FROM doc LEFT JOIN n USING (r) LEFT JOIN begins USING (r) LEFT JOIN kept USING (r)"""
 
 
+def near_dup_sql() -> str:
+    return f"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lower("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT r, array_to_string(w[k : k + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS k FROM doc WHERE len(w) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.r <> b.r GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (SELECT r AS a, r AS b FROM doc UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+smallest AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN doc ON doc.r = b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM doc JOIN smallest USING (r) LEFT JOIN sizes USING (r)"""
+
+
 def mixing_sql(targets: dict = mixing.TARGETS, rounds: int = mixing.ROUNDS) -> str:
     names = list(targets)
     steps = []
@@ -172,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate_sql(),
         "op5_line_dedup": line_dedup_sql(),
         "op8_mixing": mixing_sql(),
+        "op9_near_dup": near_dup_sql(),
     }
