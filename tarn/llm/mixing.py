@@ -7,7 +7,8 @@ calibration factor of its documents. A document is kept with probability
 ``factor / largest factor``, so that no probability is cut at 1 and the expected
 tokens of the sample have exactly the raked shares.
 
-Only the cells take part in the rounds, never documents. The draw is a hash of
+Only the cells take part in the rounds, never documents; totals and the largest
+factor, single numbers, go through the driver. The draw is a hash of
 id and text, so a lost task draws the same again.
 
 Defined cases: a null category is the category ``''``; a null or wordless text
@@ -57,18 +58,19 @@ def _margin(cells: DataFrame, name: str, target: Target) -> DataFrame:
     """``(name, target share)``; the shares sum to 1. A value that a weight table
     does not list keeps its own share, and the listed ones divide the rest."""
     own = cells.groupBy(name).agg(F.sum(_CELL).alias("own"))
-    everything = Window.partitionBy(F.lit(0))
-    share = F.col("own") / F.sum("own").over(everything)
+    total = cells.agg(F.sum(_CELL)).first()[0] or 1
+    own = own.withColumn("share", F.col("own") / F.lit(total))
     if isinstance(target, dict):
         listed = F.lit(None).cast("double")
         for value, weight in target.items():
             listed = F.when(F.col(name) == value, F.lit(float(weight))).otherwise(listed)
-        own = own.withColumn("share", share).withColumn("listed", listed)
-        free = 1 - F.sum(F.when(F.col("listed").isNull(), F.col("share")).otherwise(0.0)).over(everything)
-        goal = F.coalesce(free * F.col("listed") / F.sum("listed").over(everything), F.col("share"))
+        own = own.withColumn("listed", listed)
+        unlisted = F.sum(F.when(F.col("listed").isNull(), F.col("share")).otherwise(0.0))
+        kept, weights = own.agg(unlisted, F.sum("listed")).first()
+        goal = F.coalesce((1 - F.lit(kept or 0.0)) * F.col("listed") / F.lit(weights or 1.0), F.col("share"))
     else:
-        own = own.withColumn("powered", F.pow(share, F.lit(float(target))))
-        goal = F.col("powered") / F.sum("powered").over(everything)
+        own = own.withColumn("powered", F.pow("share", F.lit(float(target))))
+        goal = F.col("powered") / F.lit(own.agg(F.sum("powered")).first()[0] or 1.0)
     return own.select(name, goal.alias(f"_mix_{name}"))
 
 
@@ -105,10 +107,12 @@ def mix(
         .agg(F.sum("n_tokens").alias(_CELL)),
         "mix-cells",
     )
-    factors = calibrate(cells, targets, rounds).withColumn("_mix_factor", F.col(_WEIGHT) / F.col(_CELL))
-    top = F.max("_mix_factor").over(Window.partitionBy(F.lit(0)))
-    factors = factors.withColumn("_mix_p", F.col("_mix_factor") / top)
-    factors = staged(factors.select(*[F.col(n).alias(k) for k, n in zip(named, targets)], "_mix_p"), "mix-factors")
+    factors = calibrate(cells, targets, rounds).select(
+        *[F.col(n).alias(k) for k, n in zip(named, targets)], (F.col(_WEIGHT) / F.col(_CELL)).alias("_mix_factor")
+    )
+    factors = staged(factors, "mix-factors")
+    top = factors.agg(F.max("_mix_factor")).first()[0] or 1.0
+    factors = factors.withColumn("_mix_p", F.col("_mix_factor") / F.lit(top)).drop("_mix_factor")
     joined = rows.join(factors, list(named), "left").drop(*named)
     p = F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(F.col("_mix_p"))
     return joined.withColumn("p", p).withColumn("kept", draw(F.col(key), F.col(text)) < F.col("p")).drop("_mix_p")
