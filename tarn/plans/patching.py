@@ -130,15 +130,18 @@ def all_updated(node: Node, current: Column, patches: Column) -> Column:
     def _children(v: Column) -> Column:
         base, later = v["base"], v["later"]
         if isinstance(node.dtype, T.StructType):
-            parts = [all_updated(c, base.getField(c.name), _under(c, later)) for c in node.children]
+            parts = [_child_updated(c, base.getField(c.name), later) for c in node.children]
             return F.when(F.size(later) > 0, struct_of(node.dtype, parts)).otherwise(base)
         return F.when(F.size(later) > 0, _items(node, base, later)).otherwise(base)
 
     return F.when(changed, _let(F.try_element_at(own, F.lit(-1)), below)).otherwise(current)
 
 
-def _under(node: Node, patches: Column) -> Column:
-    return F.filter(patches, lambda p: p["path_id"].between(node.id, node.end))
+def _child_updated(node: Node, current: Column, patches: Column) -> Column:
+    """A field after those of the patches that name it or a place below. They are
+    picked once: written out at each use, they would triple with every level."""
+    own = F.filter(patches, lambda p: p["path_id"].between(node.id, node.end))
+    return _let(own, lambda q: all_updated(node, current, q))
 
 
 def _items(node: Node, items: Column, patches: Column) -> Column:

@@ -36,7 +36,7 @@ def same_rows(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(8))
 def test_generated_rows_survive_json_and_avro(spark, seed):
     schema = sample_schema(seed)
     rows = generate.generate_rows(spark.range(50), schema, seed=seed)
@@ -84,6 +84,46 @@ def test_generated_patches_always_apply(spark):
     assert any(p.count("/") >= 5 for p in paths) and "/f" in paths
 
 
+def put(doc, path, value):
+    """Replace one place of a document; False if an index is out of range."""
+    steps = [s.replace("~1", "/").replace("~0", "~") for s in path.split("/")[1:]]
+    for s in steps[:-1]:
+        if isinstance(doc, list) and int(s) >= len(doc):
+            return False
+        doc = doc[int(s) if isinstance(doc, list) else s]
+    last = int(steps[-1]) if isinstance(doc, list) else steps[-1]
+    if isinstance(doc, list) and last >= len(doc):
+        return False
+    doc[last] = value
+    return True
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_several_generated_patches_equal_replay(spark, seed):
+    from tarn.operators import patches as P
+
+    schema = sample_schema(seed)
+    rows = generate.generate_rows(spark.range(12), schema, seed=seed)
+    made = generate.generate_patches(rows, schema, "id", n=12, seed=seed)
+    log = P.read_patch_log(made.select("id", F.col("nth").cast("bigint").alias("seq"), "doc"), "id", "seq")
+    assert log.count() == 12 * 12
+    text = lambda df: {r["id"]: r["raw"] for r in project.to_json_docs(df, schema, keep=["id"]).collect()}
+    documents = {k: json.loads(v) for k, v in text(rows).items()}
+    refused = set()
+    for r in sorted(made.collect(), key=lambda r: r["nth"]):
+        if not put(documents[r["id"]], r["path"], json.loads(r["doc"])["value"]):
+            refused.add((r["id"], r["nth"]))
+    # Both sides through the same reader, so that numbers are written alike.
+    replayed = spark.createDataFrame([(k, json.dumps(v)) for k, v in documents.items()], "id BIGINT, raw STRING")
+    good, bad = split_valid(parse_docs(replayed), schema)
+    assert bad.count() == 0
+    log = P.judge_log(log, schema, "id", "seq")
+    done = P.apply_patch_log(rows, log, schema, "id", "seq", judged=True)
+    assert text(done) == text(project.to_rows(good, schema, keep=["id"]))
+    got = P.patch_rejects(rows, log, schema, "id", "seq", judged=True).select("id", "seq").collect()
+    assert {tuple(r) for r in got} == refused
+
+
 def test_flatten_and_explode(spark):
     schema = "k INT, s STRUCT<a: INT, t: STRUCT<b: STRING>>, l ARRAY<STRUCT<x: INT, y: ARRAY<STRUCT<z: INT>>>>"
     raw = {"k": 1, "s": {"a": 2, "t": {"b": "q"}}, "l": [{"x": 3, "y": [{"z": 4}, {"z": 5}]}, {"x": 6, "y": []}]}
