@@ -5,9 +5,10 @@ fewer words is one window. Documents are scanned once: window hashes of a batch
 come from numpy, a bitmap and a sorted table find those in the set, and each
 find is verified on its bytes. All words under a verified window are hit.
 
-The set is broadcast only in blocks of at most ``BLOCK_WINDOWS`` windows. One
-block is one narrow pass; a benchmark of more blocks is scanned block after
-block, with the hits written in between, so that no task holds more than one.
+The set is broadcast only in blocks of about ``BLOCK_WINDOWS`` pairs of window and
+item, so that a window of very many items is spread as well. One block is one
+narrow pass; a benchmark of more blocks is scanned block after block, with the
+hits written in between, so that no task holds more than one.
 
 Defined cases: a null text has no words; an item without words or with a null
 ``item_id`` has no window; repeated rows are each judged; an empty table
@@ -37,8 +38,8 @@ _FOUND = ("_hit_from", "_hit_to", "_hit_items")
 
 
 def benchmark_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``(size, window, items)``: each distinct window, its words joined by
-    spaces, with the ids of its items as strings."""
+    """``(size, window, item)``: each distinct window of an item, its words joined
+    by spaces, with the item's id as a string."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,7 +59,7 @@ def benchmark_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
 
     rows = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), F.col("text"))
     rows = rows.mapInArrow(cut, "size INT, window BINARY, item STRING")
-    return rows.groupBy("size", "window").agg(F.collect_set("item").alias("items"))
+    return rows.distinct()
 
 
 class _Set:
@@ -68,16 +69,17 @@ class _Set:
         self.by_size = {}
         for size in sorted({r[0] for r in rows}):
             table = {}
-            for _, window, items in (r for r in rows if r[0] == size):
+            for _, window, item in (r for r in rows if r[0] == size):
                 parts = pa.array([bytes(window).decode()])
                 run = next(words_of.words(parts, words_of.ALNUM))
-                table.setdefault(int(words_of.run_of(run.hashes)), {})[bytes(window)] = tuple(items)
+                own = table.setdefault(int(words_of.run_of(run.hashes)), {})
+                own.setdefault(bytes(window), []).append(item)
             hashes = np.array(sorted(table), np.uint64)
             bitmap = np.zeros(1 << _BITS, bool)
             bitmap[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
             self.by_size[size] = (bitmap, hashes, table)
 
-    def find(self, run: words_of.Words) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+    def find(self, run: words_of.Words) -> Iterator[tuple[int, int, list[str]]]:
         """Verified (first word, size, items), words counted over the run."""
         for size, (bitmap, hashes, table) in self.by_size.items():
             of = words_of.runs(run.hashes, size)
@@ -146,7 +148,7 @@ def _blocks(items: DataFrame, n: int):
     windows = staged(benchmark_windows(items, n), "benchmark-windows")
     parts = max(1, -(-windows.count() // BLOCK_WINDOWS))
     for k in range(parts):
-        own = windows.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == k) if parts > 1 else windows
+        own = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == k) if parts > 1 else windows
         yield items.sparkSession.sparkContext.broadcast(_Set([tuple(r) for r in own.collect()])), k == parts - 1
 
 
