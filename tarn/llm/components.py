@@ -14,12 +14,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Stars are alternated: each node hands its larger neighbours, then its smaller
     ones, to its smallest neighbour. Edges never grow in number, each round is
-    written, and only counts and a checksum reach the driver."""
+    written, and only counts and checksums reach the driver."""
     either = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = staged(either, "component-edges")
     before = None
     while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
