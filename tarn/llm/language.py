@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarn.llm import text as words_of
+from tarn.llm.columns import place, restored, sheltered
 
 SAMPLE_PER_LANGUAGE = 600
 WINDOW = 256
@@ -212,8 +213,10 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
         names = pa.array(network.languages).take(pa.array(best))
         return pa.StructArray.from_arrays([names, pa.array(sure)], names=["lang", "score"])
 
+    docs = docs.drop("lang_pred", "score")
+    text = place(docs, text)
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     found = F.when(has_letter, guess(F.coalesce(F.col(text), F.lit("")))).otherwise(F.struct(*und))
-    return docs.withColumn("_guess", found).withColumn("lang_pred", F.col("_guess.lang")).withColumn(
-        "score", F.col("_guess.score")
-    ).drop("_guess")
+    made = sheltered(docs).withColumn("_guess", found)
+    made = made.withColumn("lang_pred", F.col("_guess.lang")).withColumn("score", F.col("_guess.score"))
+    return restored(made, docs, "lang_pred", "score")

@@ -17,7 +17,8 @@ lines are a later copy and are deleted; what joins up is one maximal run.
 Copies of a whole text take part once; they are later copies from end to end.
 
 Defined cases: documents are ordered by ``doc_id`` (nulls last), then by the text's
-MD5; rows that repeat both are one document; blank lines belong to no run
+MD5; rows that repeat both are one document; lines that overlap
+their own copy (one line many times over) keep the first of them; blank lines belong to no run
 and stay; a null text has no lines and stays null; a text in one line is a run of one
 line; an empty table gives no row; further columns are kept, but columns named
 ``n_lines``, ``n_deleted`` or ``n_runs`` are replaced.
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tarn.llm.columns import place, restored, sheltered
 from tarn.llm.mixing import count_tokens
 from tarn.session import staged
 
@@ -151,8 +153,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
         F.first("first_id").alias("_first"), F.sum("words").alias("_words"), F.count_if(F.col("words") > 0).alias("_full")
     )
     facts = totals.join(flags, "text_key", "left").withColumnRenamed("text_key", "_text_key")
-    rows = docs.drop(*[c for c in ("n_lines", "n_deleted", "n_runs") if c in docs.columns])
-    rows = rows.withColumn("_text_key", _text_key(F.col(text))).join(facts, "_text_key", "left")
+    docs = docs.drop("n_lines", "n_deleted", "n_runs")
+    key, text = place(docs, key), place(docs, text)
+    rows = sheltered(docs).withColumn("_text_key", _text_key(F.col(text))).join(facts, "_text_key", "left")
     parts = F.split(F.col(text), "\n")
     again = ~F.col(key).cast("bigint").eqNullSafe(F.col("_first")) & (F.col("_words") >= min_words)
     blank = F.transform(parts, lambda x: count_tokens(x) == 0)
@@ -164,9 +167,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
     rows = rows.withColumn("_full_gone", F.when(F.col("_now").isNotNull(), full))
     begins = F.filter("_full_gone", lambda g, i: g & ((i == 0) | ~F.element_at(F.col("_full_gone"), F.greatest(i, F.lit(1)))))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
-    return rows.select(
-        *[F.when(F.col("_now").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else F.col(c) for c in docs.columns if c in rows.columns],
+    whole = [c for c in rows.columns if c.startswith("_kept_") and c != text]
+    rows = rows.select(
+        *whole,
+        F.when(F.col("_now").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text),
         count(F.col("_full")).alias("n_lines"),
         count(F.when(F.col("_now").isNotNull(), F.size(F.filter("_now", lambda g: g)))).alias("n_deleted"),
         count(F.when(F.col("_now").isNotNull(), F.size(begins))).alias("n_runs"),
     )
+    return restored(rows, docs, "n_lines", "n_deleted", "n_runs")

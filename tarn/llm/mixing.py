@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tarn.llm.columns import place, restored, sheltered
 from tarn.session import staged
 
 #: A margin's target: an exponent on its own shares, or weights by value.
@@ -95,11 +96,12 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``topic`` (where it is a target and not a column yet),
     ``n_tokens``, the probability ``p`` and the draw ``kept``."""
-    rows = docs
+    docs = docs.drop("n_tokens", "p", "kept")
     if "topic" in targets and "topic" not in docs.columns:
-        rows = rows.withColumn("topic", topic_of(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.withColumn("n_tokens", count_tokens(F.col(text)))
-    named = {f"_mix_key_{name}": F.coalesce(F.col(name).cast("string"), F.lit("")) for name in targets}
+        docs = docs.withColumn("topic", topic_of(F.coalesce(F.col(text), F.lit(""))))
+    key, text = place(docs, key), place(docs, text)
+    rows = sheltered(docs).withColumn("n_tokens", count_tokens(F.col(text)))
+    named = {f"_mix_key_{name}": F.coalesce(F.col(place(docs, name)).cast("string"), F.lit("")) for name in targets}
     rows = rows.withColumns(named)
     cells = staged(
         rows.where("n_tokens > 0")
@@ -113,9 +115,10 @@ def mix(
     factors = staged(factors, "mix-factors")
     top = factors.agg(F.max("_mix_factor")).first()[0] or 1.0
     factors = factors.withColumn("_mix_p", F.col("_mix_factor") / F.lit(top)).drop("_mix_factor")
-    joined = rows.join(factors, list(named), "left").drop(*named)
+    joined = rows.join(factors, list(named), "left")
     p = F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(F.col("_mix_p"))
-    return joined.withColumn("p", p).withColumn("kept", draw(F.col(key), F.col(text)) < F.col("p")).drop("_mix_p")
+    drawn = joined.withColumn("p", p).withColumn("kept", draw(F.col(key), F.col(text)) < F.col("p"))
+    return restored(drawn, docs, "n_tokens", "p", "kept")
 
 
 def draw(key: Column, text: Column) -> Column:

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.llm import text as words_of
+from tarn.llm.columns import place, restored, sheltered
 from tarn.llm.components import components
 from tarn.session import staged
 
@@ -255,6 +256,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     rows repeat. Documents without words stay, but for repeated rows."""
     kept = link(docs, text, key).where("kept")
     chosen = kept.groupBy("doc_id", "comp").agg(F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = F.col(key).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    return rows.join(chosen, same, "left_semi").dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+    own_key, own_text = place(docs, key), place(docs, text)
+    rows = sheltered(docs).withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(own_text), F.lit(""))))
+    same = F.col(own_key).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+    return restored(rows.join(chosen, same, "left_semi").dropDuplicates([own_key, "_text_hash"]), docs)

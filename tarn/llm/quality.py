@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.llm import text as words_of
+from tarn.llm.columns import place, restored, sheltered
 from tarn.session import staged
 
 SAMPLE_ROWS = 20_000
@@ -227,16 +228,19 @@ def train(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n
 def score_documents(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text") -> DataFrame:
     """``docs`` without their text, with ``score`` and ``predicted``. Statistics
     are taken once and written; learning and scoring read them."""
-    stats = staged(with_stats(docs, text).drop(text), "quality-stats")
-    model = train(stats.where(learn_from), labels)
-    score = model.score(F.col("_quality_stats"))
-    return stats.withColumn("score", score).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop(
-        "_quality_stats"
-    )
+    docs = docs.drop("score", "predicted")
+    rows = docs.select("*", learn_from).toDF(*sheltered(docs).columns, "_learn")
+    stats = staged(with_stats(rows, place(docs, text)).drop(place(docs, text)), "quality-stats")
+    known = stats.where("_learn").select(F.col(place(docs, "doc_id")).alias("doc_id"), "_quality_stats")
+    score = train(known, labels).score(F.col("_quality_stats"))
+    scored = stats.withColumn("score", score).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    own = [F.col(place(docs, c)).alias(c) for c in docs.columns if c != text]
+    return scored.select(*own, "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score 0.5 or more, unchanged."""
     stats = staged(with_stats(docs.select("doc_id", text), text).drop(text), "quality-stats")
     model = train(stats.where(learn_from), labels)
-    return with_stats(docs, text).where(model.score(F.col("_quality_stats")) >= 0.5).drop("_quality_stats")
+    scored = with_stats(sheltered(docs), place(docs, text))
+    return restored(scored.where(model.score(F.col("_quality_stats")) >= 0.5), docs)

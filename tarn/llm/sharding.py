@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tarn.llm.columns import place, restored, sheltered
 from tarn.session import staged
 
 #: Bits of the hash that may be used.
@@ -35,7 +36,7 @@ SPARE_BITS = 4
 #: Bytes of text in a shard of the registered queries.
 SHARD_BYTES = 1 << 20
 
-# Names of helper columns; tables may not use them.
+# Names of helper columns.
 _HASH, _BYTES, _ROW, _PART = "_shard_hash", "_shard_bytes_of_row", "_shard_row", "_shard_part"
 
 
@@ -124,8 +125,9 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id", text:
     """``docs`` with ``shard`` (its bits, and a page where it has one), ``depth``
     and ``shard_bytes``. Only (hash, bytes) sums are shuffled for the directory;
     the rows meet it in a join that Spark broadcasts when it is small."""
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
-    rows = docs.withColumn(_HASH, key_hash(F.col(key))).withColumn(_BYTES, size)
+    docs = docs.drop("shard", "depth", "shard_bytes")
+    size = F.coalesce(F.octet_length(place(docs, text)), F.lit(0)).cast("bigint")
+    rows = sheltered(docs).withColumn(_HASH, key_hash(F.col(place(docs, key)))).withColumn(_BYTES, size)
     sizes = staged(
         rows.groupBy(F.col(_HASH).alias("hash")).agg(F.sum(_BYTES).alias("bytes"), F.count("*").alias("docs")), "shard-sizes"
     )
@@ -144,11 +146,10 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id", text:
         F.col("bytes").alias("shard_bytes"),
         F.col("full").alias("_full"),
     )
-    clashing = [c for c in ("shard", "depth", "shard_bytes") if c in docs.columns]
-    rows = rows.drop(*clashing).withColumn("_entry", F.shiftright(_HASH, HASH_BITS - deepest))
+    rows = rows.withColumn("_entry", F.shiftright(_HASH, HASH_BITS - deepest))
     placed = rows.join(pointers, "_entry").drop("_entry")
-    whole = placed.where(~F.col("_full")).drop("_full", _HASH, _BYTES)
+    whole = restored(placed.where(~F.col("_full")), docs, "shard", "depth", "shard_bytes")
     if not found.where("full").take(1):
         return whole
     paged = _pages(placed.where("_full").drop("_full"), limit)
-    return whole.unionByName(paged.select(*whole.columns))
+    return whole.union(restored(paged, docs, "shard", "depth", "shard_bytes"))
