@@ -12,6 +12,8 @@ from tarn.llm import decontaminate, mixing, near_dup, quality, sharding
 from tarn.llm.queries import fold, table
 from tarn.session import staged
 
+#: Part of all tokens that the mixture keeps.
+MIX_SHARE = 0.5
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -31,8 +33,8 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample documents so that tokens meet the target shares."""
-    return mixing.mix(docs).where("kept").select(*COLUMNS)
+    """Sample documents so that tokens come to ``MIX_SHARE`` and near the target shares."""
+    return mixing.mix(docs, share=MIX_SHARE).where("kept").select(*COLUMNS)
 
 
 def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

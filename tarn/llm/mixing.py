@@ -3,12 +3,18 @@
 Tokens are summed over the cells of source, language and topic. Each round rakes
 the cells' weights to the target share of every source, then language, then
 topic; after ``rounds`` rounds, a cell's weight over its tokens is the
-calibration factor of its documents. A document is kept with probability
-``factor / largest factor``, so that no probability is cut at 1 and the expected
-tokens of the sample have exactly the raked shares.
-
-Only the cells take part in the rounds, never documents; totals and the largest
-factor, single numbers, go through the driver. The draw is a hash of
+calibration factor of its documents.
+
+How much is kept is a parameter. With ``share``, the sample's expected tokens are
+that share of all tokens: a cell is raked to at most its own tokens, so a rare cell
+is held whole and the rest is raked again, and at the end all cells below that are
+scaled alike to meet the share. So a rare cell's shortfall goes to the others and
+never lowers them. Without ``share`` a document is kept with probability
+``factor / largest factor``: the expected tokens have exactly the raked shares, but
+the rarest cell decides how much is kept.
+
+Only the cells take part in the rounds, never documents; totals, the largest
+factor and the scale, single numbers, go through the driver. The draw is a hash of
 id and text, so a lost task draws the same again.
 
 Defined cases: a null category is the category ``''``; a null or wordless text
@@ -75,9 +81,12 @@ def _margin(cells: DataFrame, name: str, target: Target) -> DataFrame:
     return own.select(name, goal.alias(f"_mix_{name}"))
 
 
-def calibrate(cells: DataFrame, targets: dict[str, Target], rounds: int = ROUNDS) -> DataFrame:
+def calibrate(
+    cells: DataFrame, targets: dict[str, Target], rounds: int = ROUNDS, budget: float | None = None
+) -> DataFrame:
     """Cells ``(categories, _mix_tokens)`` with ``_mix_weight``: shares of all
-    tokens whose margins are the targets."""
+    tokens whose margins are the targets; with ``budget``, tokens that add up to it,
+    in no cell more than it has."""
     weights = cells
     for name, target in targets.items():
         weights = weights.join(_margin(cells, name, target), name)
@@ -85,17 +94,45 @@ def calibrate(cells: DataFrame, targets: dict[str, Target], rounds: int = ROUNDS
     for k in range(rounds):
         for name in targets:
             total = F.sum(_WEIGHT).over(Window.partitionBy(name))
-            weights = weights.withColumn(_WEIGHT, F.col(_WEIGHT) * F.col(f"_mix_{name}") / total)
+            raked = F.col(_WEIGHT) * F.col(f"_mix_{name}") / total
+            if budget is not None:
+                raked = F.least(raked * F.lit(float(budget)), F.col(_CELL).cast("double"))
+            weights = weights.withColumn(_WEIGHT, raked)
         if k % 5 == 4:
             weights = staged(weights, "mix-round")
-    return weights.drop(*[f"_mix_{name}" for name in targets])
+    weights = weights.drop(*[f"_mix_{name}" for name in targets])
+    return weights if budget is None else _filled(staged(weights, "mix-raked"), float(budget))
+
+
+def _filled(weights: DataFrame, budget: float) -> DataFrame:
+    """Weights scaled alike, but none above its cell's tokens, to add up to ``budget``.
+
+    Newton's steps on a sum of ``min(tokens, scale * weight)``: it is concave in the
+    scale, so they only rise, and end when no further cell becomes whole."""
+    tokens, weight, scale, held = F.col(_CELL).cast("double"), F.col(_WEIGHT), 1.0, -1
+    while True:
+        whole = weight * F.lit(scale) >= tokens
+        n, full, free = weights.agg(
+            F.count(F.when(whole, 1)), F.sum(F.when(whole, tokens)), F.sum(F.when(~whole, weight))
+        ).first()
+        if n == held or not free:
+            return weights.withColumn(_WEIGHT, F.least(weight * F.lit(scale), tokens))
+        held, scale = n, max(scale, (budget - (full or 0.0)) / free)
 
 
 def mix(
-    docs: DataFrame, targets: dict[str, Target] = TARGETS, rounds: int = ROUNDS, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    targets: dict[str, Target] = TARGETS,
+    rounds: int = ROUNDS,
+    text: str = "text",
+    key: str = "doc_id",
+    share: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``topic`` (where it is a target and not a column yet),
-    ``n_tokens``, the probability ``p`` and the draw ``kept``."""
+    ``n_tokens``, the probability ``p`` and the draw ``kept``; ``share`` is the part
+    of all tokens to keep, above 0 and up to 1."""
+    if share is not None and not 0 < share <= 1:
+        raise ValueError(f"share must be above 0 and at most 1: {share}")
     docs = docs.drop("n_tokens", "p", "kept")
     if "topic" in targets and "topic" not in docs.columns:
         docs = docs.withColumn("topic", topic_of(F.coalesce(F.col(text), F.lit(""))))
@@ -109,11 +146,12 @@ def mix(
         .agg(F.sum("n_tokens").alias(_CELL)),
         "mix-cells",
     )
-    factors = calibrate(cells, targets, rounds).select(
+    budget = None if share is None else share * (cells.agg(F.sum(_CELL)).first()[0] or 0)
+    factors = calibrate(cells, targets, rounds, budget).select(
         *[F.col(n).alias(k) for k, n in zip(named, targets)], (F.col(_WEIGHT) / F.col(_CELL)).alias("_mix_factor")
     )
     factors = staged(factors, "mix-factors")
-    top = factors.agg(F.max("_mix_factor")).first()[0] or 1.0
+    top = (factors.agg(F.max("_mix_factor")).first()[0] or 1.0) if share is None else 1.0
     factors = factors.withColumn("_mix_p", F.col("_mix_factor") / F.lit(top)).drop("_mix_factor")
     joined = rows.join(factors, list(named), "left")
     p = F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(F.col("_mix_p"))
