@@ -11,8 +11,12 @@ ranked by single-precision products, and the best are scored again exactly.
 
 How many buckets are visited is measured: for ``SAMPLE_QUERIES`` queries of the
 smallest hash, the true nearest of all vectors are found and the visit that would
-reach each; enough visits are made to reach ``REACH`` of them. On data without
-neighbourhoods that is most buckets; on clustered data it is few.
+reach each; enough visits are made that ``REACH`` of these queries reach ``REACH`` of
+their own nearest. Where ``MOST_VISITS`` are too few for that, all vectors are
+compared. On data without neighbourhoods that is most buckets; on clustered data it
+is few. A query that still finds fewer than ``k``, though there are more, is compared
+with all vectors: its buckets say nothing, as when one long vector puts all others
+into nearly one bucket.
 
 The stated queries meet all vectors in blocks: blocks of queries and tiles of
 vectors, both dealt by hash and of bounded size, so no bucket is ever gathered.
@@ -21,12 +25,13 @@ Equal vectors are one row with their smallest ids, as no result needs more of th
 Defined cases: vectors that are null, zero, or hold null or non-finite components,
 and those whose length is not the commonest one, take no part; ties go to the
 smaller id; rows that repeat an id count once for each distinct vector; a query
-with fewer candidates gets all that are found; an empty table gives no row.
+with fewer candidates gets all there are; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,13 +128,22 @@ def _best(own: int, q: np.ndarray, x: np.ndarray, x32: np.ndarray, at: np.ndarra
     """The ``k`` best (score, id) of the vectors ``at``, the query's own id left out."""
     if not len(at):
         return []
-    rough = x32[at] @ q.astype(np.float32)
-    if len(at) > k + 1:
-        # Single precision may swap near equals: keep all within its error.
-        edge = np.partition(rough, -(k + 1))[-(k + 1)]
-        at = at[rough >= edge - 1e-5 * (1 + np.abs(rough).max())]
-    pairs = [(-s, i) for s, a in zip(exact(q, x[at]).tolist(), at.tolist()) for i in ids[a] if i != own]
-    return [(i, -s) for s, i in heapq.nsmallest(k, pairs)]
+    rough, cut = x32[at] @ q.astype(np.float32), k + 1
+    while True:
+        near = at
+        if len(at) > cut:
+            # Single precision may swap near equals: keep all within its error.
+            edge = np.partition(rough, -cut)[-cut]
+            near = at[rough >= edge - 1e-5 * (1 + np.abs(rough).max())]
+        best: dict = {}
+        for s, a in zip(exact(q, x[near]).tolist(), near.tolist()):
+            for i in ids[a]:
+                if i != own:
+                    best[i] = max(s, best.get(i, s))
+        # Ids that repeat with several vectors take several of the cut's places.
+        if len(best) >= k or len(near) == len(at):
+            return [(i, -s) for s, i in heapq.nsmallest(k, [(-s, i) for i, s in best.items()])]
+        cut *= 4
 
 
 def _found(rows: list) -> pa.RecordBatch:
@@ -139,17 +153,19 @@ def _found(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
 
-def _search(hashing, count: int, k: int):
+def _search(hashing, count: int | None, k: int):
+    """Compares each query with the vectors of its first ``count`` buckets; with all, if None."""
+
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list = []
         if left.num_rows and right.num_rows:
             h = hashing.value
             x, ids = _matrix(right["v"]), right["ids"].to_pylist()
             x32 = x.astype(np.float32)
-            cut = [np.unique(b, return_inverse=True) for b in h.buckets(x)]
+            cut = [np.unique(b, return_inverse=True) for b in h.buckets(x)] if count else []
             for own, q in zip(left["query_id"].to_pylist(), _matrix(left["v"])):
-                seen = np.zeros(len(x), bool)
-                for probed, (buckets, place) in zip(h.probes(q, count), cut):
+                seen = np.full(len(x), not count)
+                for probed, (buckets, place) in zip(h.probes(q, count) if count else (), cut):
                     seen |= np.isin(buckets, probed)[place]
                 rows += [(own, i, s) for i, s in _best(own, q, x, x32, np.flatnonzero(seen), ids, k)]
         return pa.Table.from_batches([_found(rows)])
@@ -157,8 +173,9 @@ def _search(hashing, count: int, k: int):
     return search
 
 
-def _visits_needed(index: DataFrame, sample: list, hashing, k: int) -> int:
-    """Visits after which ``REACH`` of the true nearest of the sample are reached."""
+def _visits_needed(index: DataFrame, sample: list, hashing, k: int) -> int | None:
+    """Visits after which ``REACH`` of the sample's queries have reached ``REACH`` of
+    their own true nearest; None, if ``MOST_VISITS`` do not do."""
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = hashing.value
@@ -173,7 +190,7 @@ def _visits_needed(index: DataFrame, sample: list, hashing, k: int) -> int:
             for (own, q), probed in zip(sample, probes):
                 for i, s in _best(own, q, x, x32, everything, ids, k):
                     first = [np.flatnonzero(probed[t] == buckets[t, home[i]])[:1] for t in range(TABLES)]
-                    reached = min((int(f[0]) + 1 for f in first if len(f)), default=MOST_VISITS)
+                    reached = min((int(f[0]) + 1 for f in first if len(f)), default=MOST_VISITS + 1)
                     out.append((own, s, i, reached))
             columns = list(zip(*out)) if out else [[]] * 4
             kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
@@ -184,8 +201,16 @@ def _visits_needed(index: DataFrame, sample: list, hashing, k: int) -> int:
     found = index.mapInArrow(rank, "query_id BIGINT, score DOUBLE, vec_id BIGINT, reached BIGINT")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    reached = np.sort([r[0] for r in found.select("reached").collect()])
-    return int(reached[min(len(reached) - 1, int(len(reached) * REACH))]) if len(reached) else 1
+    reached: dict = {}
+    for own, visit in found.select("query_id", "reached").collect():
+        reached.setdefault(own, []).append(visit)
+    count = _reach([_reach(r) for r in reached.values()]) if reached else 1
+    return count if count <= MOST_VISITS else None
+
+
+def _reach(visits: list[int]) -> int:
+    """The smallest of the numbers that ``REACH`` of them do not exceed."""
+    return sorted(visits)[math.ceil(len(visits) * REACH - 1e-9) - 1]
 
 
 def _valid(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -216,12 +241,27 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 20, key: str = "vec_id",
     hashing = spark.sparkContext.broadcast(Hashing(size, float(norm or 1.0)))
     count = _visits_needed(index, sample, hashing, k)
     tiles = max(1, -(-n // max(256, TILE_VALUES // size)))
+    found = _compared(asked, index, tiles, _search(hashing, count, k), k)
+    if count:
+        # Each query's own id is one of all ids.
+        wanted = min(k, index.select(F.explode("ids").alias("id")).distinct().count() - 1)
+        found = staged(found, "nearest-found")
+        full = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= wanted).select("query_id")
+        short = staged(asked.join(full, "query_id", "left_anti"), "nearest-short")
+        if wanted > 0 and not short.isEmpty():
+            again = _compared(short, index, tiles, _search(hashing, None, k), k)
+            found = found.join(full, "query_id", "left_semi").unionByName(again)
+    return found
+
+
+def _compared(asked: DataFrame, index: DataFrame, tiles: int, search, k: int) -> DataFrame:
+    """``(query_id, rank, vec_id, score)`` after blocks of queries have met all tiles of vectors."""
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     over = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     left = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("tile", over(tiles))
     right = index.withColumn("tile", F.pmod(F.xxhash64("v"), F.lit(tiles)).cast("int")).withColumn("block", over(blocks))
     pairs = left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile"))
-    found = pairs.applyInArrow(_search(hashing, count, k), _FOUND)
+    found = pairs.applyInArrow(search, _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # Rows that repeat an id with several vectors may find a candidate twice.
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
