@@ -12,6 +12,8 @@ from tarn.llm import decontaminate, mixing, near_dup, quality, sharding
 from tarn.llm.queries import fold, table
 from tarn.session import staged
 
+#: Documents with so many of 100 five-word shingles in common are near duplicates.
+NEAR_SIMILAR = 80
 #: Part of all tokens that the mixture keeps.
 MIX_SHARE = 0.5
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates stays."""
-    return near_dup.keep_one(docs).select(*COLUMNS)
+    return near_dup.keep_one(docs, similar=NEAR_SIMILAR).select(*COLUMNS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ never listed within a bucket. Instead:
    of tiles compares, on full sets, the pairs from different components. That is
    exact, bounded in memory, and has no partner or candidate limit.
 
-All links are confirmed on full sets: 100 * intersection >= 85 * union. At that
-similarity, the chance that two sets share no bucket is below one in a million.
+All links are confirmed on full sets: 100 * intersection >= similar * union, where
+``similar`` is 85 unless stated. The bands follow from it: at that similarity, the
+chance that two sets share no bucket is below one in a million.
 
 Defined cases: a document without words, or null, has an empty set and is linked
 with nothing; with fewer than five words the whole sequence is one shingle;
@@ -28,6 +29,7 @@ row; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,18 +46,32 @@ from tarn.session import staged
 
 SHINGLE = 5
 SIMILAR = 85
-BANDS, ROWS = 32, 6
-COORDINATES = BANDS * ROWS
+COORDINATES = 192
+#: The chance to share no bucket is lower, at the similarity asked for.
+MISSED = 1e-6
 RING_BITS = 20
 #: Nodes in a tile of the exact round.
 TILE = 1024
-#: Pairs whose signatures agree less are left out there: five standard errors below the threshold.
-AGREE = 0.72
 
 _SALTS = np.array([0x51ED270B90D3A1C7, 0x2545F4914F6CDD1D], np.uint64)
 _made: dict[str, np.ndarray] = {}
 
 
+def bands_for(similar: int) -> tuple[int, int]:
+    """How many bands of how many rows: the longest bands that keep to ``MISSED``."""
+    for rows in range(COORDINATES, 0, -1):
+        bands = COORDINATES // rows
+        if 0 < similar <= 100 and (1 - (similar / 100) ** rows) ** bands < MISSED:
+            return bands, rows
+    raise ValueError(f"no bands for a similarity of {similar} in 100")
+
+
+def agree_for(similar: int) -> float:
+    """Pairs whose signatures agree less are left out of the tiles: five standard errors below the threshold."""
+    s = similar / 100
+    return math.floor(100 * (s - 5 * math.sqrt(s * (1 - s) / COORDINATES))) / 100
+
+
 def _ring() -> np.ndarray:
     """Row ``p`` holds the values of ring place ``p`` for all coordinates; the
     rows are overlapping slices of one table."""
@@ -74,11 +90,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band and document, different for each band."""
-    parts = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
-    total = np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1)
-    for j in range(ROWS):
+    parts = signatures[:, : bands * rows].reshape(len(signatures), bands, rows).astype(np.uint64)
+    total = np.arange(bands, dtype=np.uint64)[None, :] + np.uint64(1)
+    for j in range(rows):
         total = words_of.mix(total * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
     return total.view(np.int64)
 
@@ -101,21 +117,24 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
                 yield run.lo + i, np.array([words_of.run_of(run.hashes[lo:hi])], np.uint64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = batch.num_rows
-        sizes, nodes = np.zeros(n, np.int64), [None] * n
-        signatures = np.zeros((n, COORDINATES), np.uint32)
-        for i, shingles in shingle_sets(batch.column(1)):
-            sizes[i], nodes[i] = len(shingles), node_key(shingles)
-            signatures[i] = signature(shingles)
-        keys = pa.ListArray.from_arrays(
-            pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band_keys(signatures).ravel())
-        )
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes), keys, batch.column(2)],
-            ["doc_id", "node", "n", "bands", "text_hash"],
-        )
+def _sketch(bands: int, rows: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sizes, nodes = np.zeros(n, np.int64), [None] * n
+            signatures = np.zeros((n, COORDINATES), np.uint32)
+            for i, shingles in shingle_sets(batch.column(1)):
+                sizes[i], nodes[i] = len(shingles), node_key(shingles)
+                signatures[i] = signature(shingles)
+            keys = pa.ListArray.from_arrays(
+                pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band_keys(signatures, bands, rows).ravel())
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes), keys, batch.column(2)],
+                ["doc_id", "node", "n", "bands", "text_hash"],
+            )
+
+    return sketch
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,24 +148,28 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _is_link(common: np.ndarray, a, b) -> np.ndarray:
-    return 100 * common >= SIMILAR * (a + b - common)
+def _is_link(common: np.ndarray, a, b, similar: int) -> np.ndarray:
+    return 100 * common >= similar * (a + b - common)
 
 
-@F.arrow_udf(T.BooleanType())
-def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(left, right):
-        a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-        near = np.minimum(np.searchsorted(b, a), len(b) - 1)
-        out.append(bool(_is_link(np.count_nonzero(b[near] == a), len(a), len(b))))
-    return pa.array(out, pa.bool_())
+def _linked(similar: int):
+    @F.arrow_udf(T.BooleanType())
+    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for a, b in zip(left, right):
+            a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
+            near = np.minimum(np.searchsorted(b, a), len(b) - 1)
+            out.append(bool(_is_link(np.count_nonzero(b[near] == a), len(a), len(b), similar)))
+        return pa.array(out, pa.bool_())
+
+    return linked
 
 
-def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
+def _tile_links(frame: pd.DataFrame, similar: int) -> pd.DataFrame:
     """Links between nodes of different components of one tile, or of two: for
     each pair of components that get joined, one."""
     frame = frame.sort_values("node").reset_index(drop=True)
+    agree = agree_for(similar) * COORDINATES
     two = frame["a"].iloc[0] != frame["b"].iloc[0]
     salt, n = frame["salt"].to_numpy(), frame["n"].to_numpy()
     root, comp = pd.factorize(frame["comp"])[0], {}
@@ -164,26 +187,26 @@ def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     for x in range(len(frame)):
         later = np.arange(x + 1, len(frame))
-        fits = (root[later] != root[x]) & (100 * np.minimum(n[later], n[x]) >= SIMILAR * np.maximum(n[later], n[x]))
+        fits = (root[later] != root[x]) & (100 * np.minimum(n[later], n[x]) >= similar * np.maximum(n[later], n[x]))
         if two:
             fits &= salt[later] != salt[x]
         later = later[fits]
         if len(later):
-            later = later[(signatures[later] == signatures[x]).sum(axis=1) >= AGREE * COORDINATES]
+            later = later[(signatures[later] == signatures[x]).sum(axis=1) >= agree]
         if not len(later):
             continue
         own = dense[bounds[x] : bounds[x + 1]]
         flags[own] = 1
         for y in later.tolist():
             cx, cy = find(int(root[x])), find(int(root[y]))
-            if cx != cy and _is_link(flags[dense[bounds[y] : bounds[y + 1]]].sum(), n[x], n[y]):
+            if cx != cy and _is_link(flags[dense[bounds[y] : bounds[y + 1]]].sum(), n[x], n[y], similar):
                 comp[cx] = cy
                 out.append((frame["node"][x], frame["node"][y]))
         flags[own] = 0
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _pivot_links(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _pivot_links(members: DataFrame, sets: DataFrame, similar: int) -> tuple[DataFrame, DataFrame]:
     """(node, pivot) for all members of buckets, and the links among them."""
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     scored = members.join(score, "node")
@@ -192,15 +215,15 @@ def _pivot_links(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
     pairs = staged(pairs.select("node", "pivot").distinct(), "near-pairs")
     full = sets.select("node", "n", "shingles")
     other = full.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("shingles").alias("pivot_shingles"))
-    fits = 100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")
+    fits = 100 * F.least("n", "pivot_n") >= similar * F.greatest("n", "pivot_n")
     sizes = sets.select("node", "n")
     tested = pairs.where(F.col("node") != F.col("pivot")).join(sizes, "node").join(sizes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n")), "pivot")
     tested = tested.where(fits).select("node", "pivot")
-    verified = tested.join(full, "node").join(other, "pivot").where(_linked("shingles", "pivot_shingles"))
+    verified = tested.join(full, "node").join(other, "pivot").where(_linked(similar)("shingles", "pivot_shingles"))
     return pairs, staged(verified.select(F.col("node").alias("a"), F.col("pivot").alias("b")), "near-links")
 
 
-def _cross_links(pairs: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+def _cross_links(pairs: DataFrame, found: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """Exact links between different components, from tiles of pivot groups."""
     grouped = pairs.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     live = grouped.groupBy("pivot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
@@ -211,15 +234,17 @@ def _cross_links(pairs: DataFrame, found: DataFrame, sets: DataFrame) -> DataFra
         "pivot", F.least("salt", "other").alias("a"), F.greatest("salt", "other").alias("b"), "salt", "node", "comp"
     )
     rows = rows.join(sets, "node")
-    return staged(rows.groupBy("pivot", "a", "b").applyInPandas(_tile_links, "a BINARY, b BINARY"), "near-cross")
+    tile = lambda frame: _tile_links(frame, similar)
+    return staged(rows.groupBy("pivot", "a", "b").applyInPandas(tile, "a BINARY, b BINARY"), "near-cross")
 
 
-def link(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def link(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: int = SIMILAR) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, comp, text_hash)`` per document;
-    ``comp`` names its component, also where ids repeat."""
+    ``comp`` names its component, also where ids repeat. Sets are linked that have
+    ``similar`` of 100 shingles in common, or more."""
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = "doc_id BIGINT, node BINARY, n BIGINT, bands ARRAY<BIGINT>, text_hash BIGINT"
-    sketch = staged(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch, schema), "near-sketch")
+    sketch = staged(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(*bands_for(similar)), schema), "near-sketch")
     # Copies of a set fall together before anything is counted.
     nodes = sketch.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     nodes = staged(nodes, "near-nodes")
@@ -231,9 +256,9 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     full = wanted.select("text").mapInArrow(_full_sets, "node BINARY, n BIGINT, shingles BINARY, signature BINARY")
     sets = full.join(firsts.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sets = staged(sets, "near-sets")
-    pairs, links = _pivot_links(members, sets)
+    pairs, links = _pivot_links(members, sets, similar)
     found = components(links)
-    cross = _cross_links(pairs, found, sets)
+    cross = _cross_links(pairs, found, sets, similar)
     if not cross.isEmpty():
         found = components(links.unionByName(cross))
     comp = F.coalesce("comp", "node")
@@ -251,10 +276,10 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: int = SIMILAR) -> DataFrame:
     """``docs`` with one document of each component, its first; one row of it, if
     rows repeat. Documents without words stay, but for repeated rows."""
-    kept = link(docs, text, key).where("kept")
+    kept = link(docs, text, key, similar).where("kept")
     chosen = kept.groupBy("doc_id", "comp").agg(F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
     own_key, own_text = place(docs, key), place(docs, text)
     rows = sheltered(docs).withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(own_text), F.lit(""))))
