@@ -19,14 +19,15 @@ def shingles(text):
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
 
 
-def near_components(rows):
-    """rows of (doc_id, text): for each row (set size, smallest reachable id)."""
+def near_components(rows, similar=85):
+    """rows of (doc_id, text): for each row (set size, smallest reachable id);
+    linked from ``similar`` of 100 shingles in common."""
     sets = [shingles(t) for _, t in rows]
     group = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if common and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            if common and 100 * common >= similar * (len(sets[i]) + len(sets[j]) - common):
                 a, b = group[i], group[j]
                 group = [min(a, b) if g in (a, b) else g for g in group]
     smallest = {}

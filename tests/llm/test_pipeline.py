@@ -18,7 +18,7 @@ def test_stages_follow_their_contracts(spark):
     labels = {r["doc_id"]: r["quality"] for r in C.table(spark, SF, "labels").collect()}
     assert sum(labels[d] == 1 for d in good if d in labels) >= 0.95 * sum(q == 1 for q in labels.values())
     rows = sorted((d, r["text"]) for d, r in good.items())
-    assert set(single) == {d for (d, _), (n, c) in zip(rows, near_components(rows)) if not n or c == d}
+    assert set(single) == {d for (d, _), (n, c) in zip(rows, near_components(rows, C.NEAR_SIMILAR)) if not n or c == d}
     assert set(clean) == {d for d, r in single.items() if not contamination(r["text"], items)[1]}
     assert set(mixed) <= set(clean) and set(sharded) == set(mixed)
     sums = {}
