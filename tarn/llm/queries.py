@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm import (
     chat_format,
+    conversation_repair,
     decontaminate,
     language,
     language_model,
@@ -95,5 +96,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(docs, fold("doc_id", 5) == 1)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` with a fault in some, chosen by crc32 of ``conv_id:turn``, modulo 20; nulls are one space."""
+    known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    pick = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), pick.alias("pick"))
+    text = F.when(F.col("pick") == 1, "").when(F.col("pick") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("pick") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("pick") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    kept = rows.where("pick <> 0")
+    return kept.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report(damaged(turns), turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -83,3 +83,63 @@ def token_counts(texts):
     for t in texts:
         counts.update([*cut(t), None])
     return counts
+
+
+def damage(rows):
+    """The faults of the repair query, in (conv_id, turn, role, text) rows."""
+    import zlib
+
+    out = []
+    for conv, turn, role, text in rows:
+        shown = [" " if x is None else str(x) for x in (conv, turn, role, text)]
+        pick = zlib.crc32(f"{shown[0]}:{shown[1]}".encode()) % 20
+        if pick == 0:
+            continue
+        text = "" if pick == 1 else re.sub("[.!?]", "", shown[3]) if pick == 2 else shown[3]
+        out += [(conv, turn, "user" if pick == 4 else shown[2], text)] * (2 if pick == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """One conversation's (turn, role, text) rows: gaps, blank, duplicate, truncated, illegal, cost, audit, repaired lines."""
+    rows = sorted(((t, r or " " if r is None else r, " " if x is None else x) for t, r, x in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    faults, seen = [], set()
+    for _, role, text in rows:
+        last = re.findall("[^\x20\x09-\x0d]", text)[-1:]
+        faults.append("blank" if not last else "duplicate" if (role, text) in seen else "" if last[0] in ".!?" else "truncated")
+        seen.add((role, text))
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    # The cheapest edits of the first rows that give each kind of initials so far, as (cost, audit, lines).
+    steps = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {"": (0, "", ())}
+    full = {"u": "user", "a": "assistant"}
+
+    def put(into, state, entry):
+        into[state] = min(into.get(state, entry), entry)
+
+    def inserted(table):
+        for _ in range(4):
+            for state, (cost, audit, lines) in list(table.items()):
+                for i in "ua":
+                    if (state, i) in steps:
+                        put(table, i, (cost + 2, audit + "I", (*lines, full[i] + ":")))
+        return table
+
+    inserted(best)
+    for (_, role, text), fault in zip(rows, faults):
+        after = {}
+        for state, (cost, audit, lines) in best.items():
+            put(after, state, (cost + 3, audit + "D", lines))
+            if fault in ("", "truncated"):
+                more = fault == "truncated"
+                if (state, role[:1]) in steps:
+                    put(after, role[:1], (cost + more, audit + "K", (*lines, f"{role}:{text}")))
+                for i in "ua":
+                    if (state, i) in steps:
+                        put(after, i, (cost + 2 + more, audit + "R", (*lines, f"{full[i]}:{text}")))
+        best = inserted(after)
+    cost, audit, lines = min(e for s, e in best.items() if s in ("", "a"))
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return gaps, *counts, illegal, cost, audit, "\n".join(lines)
