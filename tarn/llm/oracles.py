@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarn.llm import chat_format, mixing, sharding
+from tarn.llm import chat_format, mixing, resample, sharding
 
 _CONTROLS = "|".join(
     c.replace("[", r"\[").replace("]", r"\]")
@@ -183,6 +183,38 @@ drawn AS (
 SELECT doc_id, source, lang, topic, n_tokens, round(prob, 6) AS p, u < prob AS kept FROM drawn"""
 
 
+def resample_sql() -> str:
+    b, word = resample.BUCKETS, r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    noise = "floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296e0)))"
+    return f"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS byte
+  FROM (SELECT unnest(range(256)) AS i)
+), doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lower("text")}, {word}) AS w FROM documents),
+own AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM doc) GROUP BY ALL),
+aim AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all({_lower("text")}, {word})) AS w FROM benchmark) GROUP BY ALL),
+bucket AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(w)), lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, byte[(xor(c, x) & 255) + 1])), 4294967295) % {b} AS b
+  FROM (SELECT w FROM own UNION SELECT w FROM aim), crc
+), gain AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + {b}) / ((s + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM aim), 0) + {b})))) AS g
+  FROM (SELECT b, sum(n) AS s FROM own JOIN bucket USING (w) GROUP BY b)
+  LEFT JOIN (SELECT b, sum(n) AS t FROM aim JOIN bucket USING (w) GROUP BY b) USING (b)
+), weighed AS (
+  SELECT r, floor(sum(own.n * g)::DOUBLE / sum(own.n)) AS weight FROM own JOIN bucket USING (w) JOIN gain USING (b) GROUP BY r
+), scored AS (
+  SELECT r, doc_id, len(w) AS n, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM doc LEFT JOIN weighed USING (r)
+), able AS (
+  SELECT r, row_number() OVER (ORDER BY weight + {noise} DESC, doc_id NULLS LAST, n) AS rank, count(*) OVER () AS docs FROM scored WHERE n >= {resample.MIN_WORDS}
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(weight + {noise} AS BIGINT) AS score,
+  CASE WHEN rank <= {resample.PERCENT} * docs // 100 THEN CAST(rank AS BIGINT) END AS rank
+FROM scored LEFT JOIN able USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": chat_sql(),
@@ -191,4 +223,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": line_dedup_sql(),
         "op8_mixing": mixing_sql(),
         "op9_near_dup": near_dup_sql(),
+        "op11_resample": resample_sql(),
     }

@@ -18,6 +18,7 @@ from tarn.llm import (
     near_dup,
     nearest,
     quality,
+    resample,
     sharding,
 )
 
@@ -96,6 +97,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(docs, fold("doc_id", 5) == 1)
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resample.resample(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """``turns`` with a fault in some, chosen by crc32 of ``conv_id:turn``, modulo 20; nulls are one space."""
     known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))

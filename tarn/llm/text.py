@@ -68,7 +68,10 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
-    hashes: np.ndarray
+    hashes: np.ndarray | None
+    #: The first words that an earlier piece of the same text held too, and whether the text goes on in a later one.
+    carried: int = 0
+    goes_on: bool = False
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
@@ -98,21 +101,61 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         lo = hi
 
 
+def _spans(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of ``letters`` that lie within one text."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = letters[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[bounds] = True
+    return np.flatnonzero(inside[1:] & (~inside[:-1] | cut)), np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    power, inverse = _power_tables(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def words(column: pa.Array, letters: np.ndarray) -> Iterator[Words]:
     """Lower-cases A-Z and cuts each text into maximal runs of ``letters``."""
     for lo, data, bounds in chunks(column):
         data = _LOWER[data]
-        inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = letters[data]
-        cut = np.zeros(len(data) + 1, bool)
-        cut[bounds] = True
-        starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
-        ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-        power, inverse = _power_tables(len(data))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-        yield Words(lo, data, bounds, starts, ends, np.searchsorted(starts, bounds), hashes)
+        starts, ends = _spans(data, bounds, letters)
+        yield Words(lo, data, bounds, starts, ends, np.searchsorted(starts, bounds), _hashes(data, starts, ends))
+
+
+def _cut_after(data: np.ndarray, at: int, letters: np.ndarray) -> int:
+    """The first place from ``at`` on that is not within a word."""
+    while at < len(data) and letters[_LOWER[data[at - 1]]]:
+        stop = np.flatnonzero(~letters[_LOWER[data[at : at + 4096]]])
+        if len(stop):
+            return at + int(stop[0])
+        at = min(len(data), at + 4096)
+    return at
+
+
+def word_pieces(column: pa.Array, letters: np.ndarray, carry: int, hashed: bool = True) -> Iterator[Words]:
+    """As ``words``, but a text of more than ``CHUNK_BYTES`` comes in pieces of about that size, cut between words (one longer word
+    is not cut). Each piece begins with the last ``carry`` words before it, so that every run of
+    ``carry + 1`` words lies in one piece and, whole, in one only."""
+    for lo, raw, bounds in chunks(column):
+        if len(raw) <= CHUNK_BYTES:
+            data = _LOWER[raw]
+            starts, ends = _spans(data, bounds, letters)
+            yield Words(lo, data, bounds, starts, ends, np.searchsorted(starts, bounds), _hashes(data, starts, ends) if hashed else None)
+            continue
+        at, begins = 0, []
+        while at < len(raw):
+            end = _cut_after(raw, min(len(raw), at + CHUNK_BYTES), letters)
+            start = begins[0] if begins else at
+            data = _LOWER[raw[start:end]]
+            edge = np.array([0, len(data)])
+            starts, ends = _spans(data, edge, letters)
+            made = _hashes(data, starts, ends) if hashed else None
+            yield Words(lo, data, edge, starts, ends, np.searchsorted(starts, edge), made, len(begins), end < len(raw))
+            begins = [start + int(s) for s in starts[-carry:]] if carry else []
+            at = end
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
