@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarn.llm import chat_format, mixing, resample, sharding
+from tarn.llm import chat_format, mixing, resample, secret_scan, sharding
 
 _CONTROLS = "|".join(
     c.replace("[", r"\[").replace("]", r"\]")
@@ -215,6 +215,42 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight
 FROM scored LEFT JOIN able USING (r)"""
 
 
+def secret_scan_sql() -> str:
+    quoted = {k: "'" + p.replace("'", "''") + "'" for k, (p, _, _) in secret_scan.KINDS.items()}
+    found = " UNION ALL ".join(
+        f"""SELECT r, owner, doc_id, {n} AS kind, k, length(string_split_regex(text, {quoted[kind]})[k]) AS gap,
+    length(regexp_extract_all(text, {quoted[kind]})[k]) AS size, regexp_extract_all(text, {quoted[kind]}, {group})[k] AS value, {least} AS least
+  FROM (SELECT *, unnest(range(1, len(regexp_extract_all(text, {quoted[kind]})) + 1)) AS k FROM doc WHERE regexp_matches(text, {quoted[kind]}))"""
+        for n, (kind, (_, group, least)) in enumerate(secret_scan.KINDS.items())
+    )
+    names = "[" + ", ".join(f"'{k}'" for k in secret_scan.KINDS) + "]"
+    last = len(secret_scan.KINDS) - 1
+    line = f"{names}[kind + 1] || ':' || a || ':' || b"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {n}) AS n_{k}" for n, k in enumerate(list(secret_scan.KINDS)[:last]))
+    return f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS owner, coalesce(text, '') AS text FROM documents
+), found AS ({found}),
+placed AS (
+  SELECT r, owner, doc_id, kind, value, b - size AS a, b
+  FROM (SELECT *, CAST(sum(gap + size) OVER (PARTITION BY r, kind ORDER BY k) AS BIGINT) AS b FROM found)
+  WHERE length(value) >= least AND (kind < {last} OR regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9].*[0-9].*[0-9]'))
+), uncovered AS (
+  SELECT * FROM placed p WHERE kind < {last} OR NOT EXISTS (SELECT 1 FROM placed q WHERE q.r = p.r AND q.kind < {last} AND q.a < p.b AND q.b > p.a)
+), held AS (
+  SELECT value, count(DISTINCT owner) <= {secret_scan.MOST_OWNERS}
+    AND count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) <= {secret_scan.MOST_REPOSITORIES} AS live FROM uncovered GROUP BY value
+), spans AS (SELECT * FROM uncovered JOIN held USING (value) WHERE kind < {last} OR live),
+told AS (
+  SELECT r, {counts}, string_agg({line}, ',' ORDER BY a, kind) FILTER (WHERE kind < {last}) AS base, string_agg({line}, ',' ORDER BY a, kind) AS spans,
+    count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example
+  FROM spans GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in list(secret_scan.KINDS)[:last])}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM doc LEFT JOIN told USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": chat_sql(),
@@ -224,4 +260,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing_sql(),
         "op9_near_dup": near_dup_sql(),
         "op11_resample": resample_sql(),
+        "op12_secret_scan": secret_scan_sql(),
     }

@@ -19,6 +19,7 @@ from tarn.llm import (
     nearest,
     quality,
     resample,
+    secret_scan,
     sharding,
 )
 
@@ -103,6 +104,18 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a repository, and its source the owner."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+    return found.select(
+        "doc_id", *[count(k) for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"),
+        F.col("n_live").cast("bigint").alias("n_live"), F.col("n_example").cast("bigint").alias("n_example"),
+    )
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """``turns`` with a fault in some, chosen by crc32 of ``conv_id:turn``, modulo 20; nulls are one space."""
     known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
