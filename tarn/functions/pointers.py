@@ -17,11 +17,6 @@ def is_pointer(path: Column) -> Column:
     return (path == "") | (path.startswith("/") & ~path.rlike(BAD_ESCAPE))
 
 
-def has_index(path: Column) -> Column:
-    """Can this path go through an array? False is certain, true is not."""
-    return path.rlike(INDEX_STEP)
-
-
 def any_index(path: Column) -> Column:
     """The path with each number step turned into the any-index step."""
     return F.regexp_replace(path, INDEX_STEP, f"/{ANY_INDEX}")

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.functions.pointers import any_index, has_index, is_pointer, steps
-from tarn.plans.columns import as_list, bind, compiled_once, quoted, top
+from tarn.functions.pointers import any_index, is_pointer, steps
+from tarn.plans.columns import as_list, bind, compiled_once, concat_arrays, quoted, top
 from tarn.plans.patching import (
     all_updated,
     array_depth,
@@ -31,7 +31,7 @@ from tarn.plans.patching import (
 from tarn.plans.rules import ERROR_TYPE, checks, child, describe, no_errors
 from tarn.plans.schema import Node, SchemaError, check_schema, node_tree
 from tarn.plans.typed import typed_value
-from tarn.session import staged
+from tarn.session import measured, staged
 
 REJECT_COLUMNS = ["op", "path", "code", "depth", "errors", "raw"]
 
@@ -189,24 +189,47 @@ def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     return checked.withColumn("code", code).withColumn("errors", full).drop("_errors")
 
 
+def _digest() -> Column:
+    """What a patch says, as a short hash: equal for copies of one message."""
+    return F.md5(F.to_json(F.array("op", "path", F.to_json("value"), "raw")))
+
+
 def judge_log(patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str) -> DataFrame:
     """``validate_patches``, and what the log as a whole refuses: a patch without key
-    or sequence number is ``no_key`` or ``no_seq``, and patches of one entity with the
-    same number are all ``duplicate_seq``, as their order is unknown.
+    or sequence number is ``no_key`` or ``no_seq``. Equal patches of one entity and number are one message delivered
+    again and count once; unequal ones are all ``duplicate_seq``, as their order is unknown.
 
     The log is parsed and judged once and written to the work folder; the operators
     below read it from several sides. They judge a log themselves unless they are told
-    ``judged=True``."""
+    ``judged=True``. Numbers met more than once are found by keys and numbers alone, and only
+    their patches are looked at again; the rest of the log is scanned past a broadcast set of
+    those numbers, if that is small, and not shuffled."""
     keys = as_list(key)
     _refuse([*keys, seq], JUDGED)
     no_key = F.greatest(*[top(k).isNull() for k in keys], F.lit(False))
     early = F.when(no_key, "no_key").when(top(seq).isNull(), "no_seq").otherwise(F.col("code"))
     once = staged(validate_patches(patches, schema).withColumn("code", early), "judged")
+    named = [*keys, seq]
     known = once.where(~no_key & top(seq).isNotNull())
-    twice = duplicate_seqs(known, keys, seq).select(*[quoted(k) for k in keys], quoted(seq), F.lit(True).alias("_twice"))
-    marked = once.join(twice, [*keys, seq], "left")
-    code = F.when(F.col("_twice"), F.lit("duplicate_seq")).otherwise(F.col("code"))
-    return marked.withColumn("code", code).select(*[top(c) for c in once.columns])
+    repeated, n = measured(duplicate_seqs(known, keys, seq).select(*[quoted(c) for c in named]), "repeated")
+    if not n:
+        return once
+    return once.join(repeated, named, "left_anti").unionByName(_settled(known.join(repeated, named, "left_semi"), named))
+
+
+def _settled(suspects: DataFrame, named: list[str]) -> DataFrame:
+    """Of patches that share an entity and a number, one of each content; refused where there are several."""
+    others = [c for c in suspects.columns if c not in named]
+    each = suspects.groupBy(*[quoted(c) for c in named], _digest().alias("_digest")).agg(
+        F.any_value(F.struct(*[top(c).alias(c) for c in others])).alias("_p")
+    )
+    each = staged(each, "repeated-patches")
+    several = each.groupBy(*[quoted(c) for c in named]).agg(F.count("*").alias("_n")).where("_n > 1")
+    marked = each.join(several, named, "left")
+    code = F.when(F.col("_n").isNotNull(), F.lit("duplicate_seq")).otherwise(F.col("_p.code")).alias("code")
+    fields = [code if c == "code" else F.col("_p").getField(c).alias(c) for c in others]
+    made = marked.select(*[top(c) for c in named], *fields).select(*[top(c) for c in suspects.columns])
+    return staged(made, "settled")
 
 
 def _accepted(checked: DataFrame) -> DataFrame:
@@ -225,17 +248,18 @@ def compact_patch_log(
 
     That holds for paths with indexes too. After the last patch that sets an
     array, all its index patches meet the same length, so the latest on an item
-    is in range or none is; the ones before are overwritten. One aggregation, partial
-    before its shuffle, so a busy entity arrives already reduced.
+    is in range or none is; the ones before are overwritten.
+
+    The latest numbers come from a hash aggregation over keys, paths and numbers, partial before its shuffle, so a busy
+    entity arrives already reduced; values are read afterwards, by a semi join on those numbers: past a broadcast set if
+    they are few, else by entity, path and number together, which no busy entity can crowd.
     """
     keys = as_list(key)
     good = _accepted(_checked(patches, schema, keys, seq, judged))
-    latest = F.max_by(F.struct(top(seq).alias("seq"), "path_id", "idx", "value"), top(seq))
-    return (
-        good.groupBy(*[quoted(k) for k in keys], "path")
-        .agg(latest.alias("_p"))
-        .select(*[top(k) for k in keys], F.col("_p.seq").alias(seq), "path", "_p.path_id", "_p.idx", "_p.value")
-    )
+    newest = good.groupBy(*[quoted(k) for k in keys], "path").agg(F.max(top(seq)).alias(seq))
+    newest, _ = measured(newest, "newest")
+    kept = good.join(newest, [*keys, "path", seq], "left_semi")
+    return kept.select(*[top(k) for k in keys], top(seq), "path", "path_id", "idx", "value")
 
 
 def duplicate_seqs(patches: DataFrame, key: str | list[str], seq: str) -> DataFrame:
@@ -248,7 +272,7 @@ def duplicate_seqs(patches: DataFrame, key: str | list[str], seq: str) -> DataFr
 # -- array lengths ---------------------------------------------------------------
 
 
-def _entity_lengths(entities: DataFrame, asked: DataFrame, root: Node, keys: list[str], level: int) -> DataFrame:
+def _entity_lengths(entities: DataFrame, asked: DataFrame, root: Node, keys: list[str], levels: range) -> DataFrame:
     """The array lengths of the entities that ``asked`` names, as they come: they
     stand before the whole log, or right after ``last_seq`` where the entities carry
     that column. Other entities are left out before their arrays are looked at."""
@@ -256,15 +280,16 @@ def _entity_lengths(entities: DataFrame, asked: DataFrame, root: Node, keys: lis
     entities = entities.join(asked.select(*named).distinct(), keys, "left_semi")
     row = F.struct(*[top(c.name).alias(c.name) for c in root.children])
     at = F.col("last_seq") if "last_seq" in entities.columns else F.lit(None)
-    lengths = array_lengths(root, row, F.lit(""), level).alias("_lengths")
+    lengths = concat_arrays([array_lengths(root, row, F.lit(""), level) for level in levels]).alias("_lengths")
     named = entities.select(*[top(k) for k in keys], at.cast("bigint").alias("_at"), lengths)
     return named.select(*[top(k) for k in keys], "_at", F.lit(True).alias("_base"), F.inline("_lengths"))
 
 
-def _length_changes(good: DataFrame, root: Node, keys: list[str], seq: str, level: int) -> DataFrame:
-    setters = good.where(F.col("path_id").isin(*sets_lengths(root, level)))
-    lengths = patch_lengths(root, F.col("path_id"), F.col("value"), F.col("path"), level).alias("_lengths")
-    named = setters.select(*[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), lengths)
+def _length_changes(good: DataFrame, root: Node, keys: list[str], seq: str, levels: range) -> DataFrame:
+    """The array lengths that patches set."""
+    setters = good.where(F.col("path_id").isin(*{n for level in levels for n in sets_lengths(root, level)}))
+    lengths = [patch_lengths(root, F.col("path_id"), F.col("value"), F.col("path"), level) for level in levels]
+    named = setters.select(*[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), concat_arrays(lengths).alias("_lengths"))
     return named.select(*[top(k) for k in keys], "_at", F.lit(False).alias("_base"), F.inline("_lengths"))
 
 
@@ -283,8 +308,8 @@ def _reachable(entities: DataFrame, latest: DataFrame, root: Node, keys: list[st
     for level in range(array_depth(root)):
         settled = latest.where(F.size("idx") <= level)
         pending = latest.where(F.size("idx") > level).withColumn("inst", _array_path(root, level))
-        start = _entity_lengths(entities, pending, root, keys, level)
-        changes = _length_changes(settled, root, keys, seq, level)
+        start = _entity_lengths(entities, pending, root, keys, range(level, level + 1))
+        changes = _length_changes(settled, root, keys, seq, range(level, level + 1))
         lengths = (
             start.unionByName(changes)
             .groupBy(*names)
@@ -431,6 +456,33 @@ def _last_before(events: DataFrame, group: list[str], value: str, query: str) ->
     return joined.withColumn("_last", F.coalesce("_inside", "_carried")).drop("_inside", "_carried", "_chunk", "_base")
 
 
+def _out_of_range(
+    entities: DataFrame, good: DataFrame, root: Node, keys: list[str], seq: str
+) -> DataFrame:
+    """Key and number of the accepted patches with an index that was out of range when they came.
+
+    All levels of a path are asked about in one ordered scan, each against the last length set on its own array, whether or
+    not the patch that set it was itself in range. That is exact: where all levels above are in range, the array
+    above was last set whole after any patch that missed it, and with it the arrays below. Only keys, paths and
+    numbers are ordered, never values."""
+    depth = array_depth(root)
+    pending = good.where(F.size("idx") > 0)
+    asks = F.array(*[
+        F.when(F.size("idx") > level, F.struct(_array_path(root, level).alias("inst"), F.get("idx", F.lit(level)).alias("index")))
+        for level in range(depth)
+    ])
+    asked = pending.select(
+        *[top(k) for k in keys], top(seq).cast("bigint").alias("_at"), F.lit(False).alias("_base"), top(seq).alias("_seq"),
+        F.inline(F.filter(asks, lambda a: a.isNotNull())),
+    )
+    start = _entity_lengths(entities, pending, root, keys, range(depth))
+    changes = _length_changes(good, root, keys, seq, range(depth))
+    events = start.unionByName(changes).unionByName(asked, allowMissingColumns=True)
+    known = _last_before(events, [*keys, "inst"], "len", "index IS NOT NULL")
+    missed = known.where(~F.coalesce(F.col("index") < F.col("_last"), F.lit(False)))
+    return missed.select(*[top(k) for k in keys], F.col("_seq").alias(seq)).distinct()
+
+
 def path_in_data(
     entities: DataFrame,
     patches: DataFrame,
@@ -444,42 +496,11 @@ def path_in_data(
     those, and the patches that set arrays, are put in order."""
     root, keys = _tree(schema), as_list(key)
     good = _accepted(_checked(patches, schema, keys, seq, judged))
-    depth = array_depth(root)
-    if not depth:
+    if not array_depth(root):
         return good.withColumn("in_data", F.lit(True))
-    sure = good.where(~has_index(F.col("path"))).withColumn("in_data", F.lit(True))
-    pending = good.where(has_index(F.col("path")))
-    # Fields may have numbers for names: such paths have no index after all.
-    done = [sure, pending.where(F.size("idx") == 0).withColumn("in_data", F.lit(True))]
-    pending = pending.where(F.size("idx") > 0)
-    setters = good.where(F.size("idx") == 0)
-    for level in range(depth):
-        payload = F.struct(*[top(c) for c in good.columns if c not in keys])
-        asked = pending.select(
-            *[top(k) for k in keys],
-            top(seq).cast("bigint").alias("_at"),
-            F.lit(False).alias("_base"),
-            _array_path(root, level).alias("inst"),
-            payload.alias("_patch"),
-        )
-        start = _entity_lengths(entities, asked, root, keys, level)
-        changes = _length_changes(setters, root, keys, seq, level)
-        events = start.unionByName(changes).unionByName(asked, allowMissingColumns=True)
-        known = _last_before(events, [*keys, "inst"], "len", "_patch IS NOT NULL")
-        judged = known.select(
-            *[top(k) for k in keys],
-            "_patch.*",
-            F.coalesce(F.get("_patch.idx", F.lit(level)) < F.col("_last"), F.lit(False)).alias("in_data"),
-        )
-        last = F.size("idx") == level + 1
-        done.append(judged.where(last | ~F.col("in_data")))
-        if level + 1 < depth:
-            pending = judged.where(~last & F.col("in_data")).drop("in_data")
-            setters = setters.unionByName(judged.where(last & F.col("in_data")).drop("in_data"))
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part.select(*result.columns))
-    return result
+    missed, _ = measured(_out_of_range(entities, good, root, keys, seq), "out-of-range")
+    marked = good.join(missed.withColumn("_missed", F.lit(True)), [*keys, seq], "left")
+    return marked.select(*[top(c) for c in good.columns], F.col("_missed").isNull().alias("in_data"))
 
 
 def unknown_entities(entities: DataFrame, patches: DataFrame, key: str | list[str]) -> DataFrame:
@@ -503,13 +524,17 @@ def patch_rejects(
     ``invalid_path`` for an index that was out of range when the patch came."""
     keys = as_list(key)
     checked = _checked(patches, schema, keys, seq, judged)
+    root = _tree(schema)
     columns = [*[top(k) for k in keys], top(seq), *REJECT_COLUMNS]
-    static = checked.where(F.col("code").isNotNull()).select(*columns)
+    refused = checked.where(F.col("code").isNotNull()).select(*columns)
     good = _accepted(checked)
-    orphans = unknown_entities(entities, good, keys)
-    unknown = good.join(orphans, keys, "left_semi").withColumn("code", F.lit("unknown_entity")).select(*columns)
-    if not array_depth(_tree(schema)):
-        return static.unionByName(unknown)
-    out = path_in_data(entities, checked, schema, keys, seq, judged=True).where(~F.col("in_data"))
-    out = out.join(orphans, keys, "left_anti").withColumn("code", F.lit("invalid_path")).select(*columns)
-    return static.unionByName(unknown).unionByName(out)
+    orphans, n = measured(unknown_entities(entities, good, keys), "orphans")
+    if n:
+        unknown = good.join(orphans, keys, "left_semi").withColumn("code", F.lit("unknown_entity"))
+        refused = refused.unionByName(unknown.select(*columns))
+    if not array_depth(root):
+        return refused
+    missed = _out_of_range(entities, good, root, keys, seq)
+    missed, _ = measured(missed.join(orphans, keys, "left_anti") if n else missed, "out-of-range")
+    out = good.join(missed, [*keys, seq], "left_semi").withColumn("code", F.lit("invalid_path"))
+    return refused.unionByName(out.select(*columns))

@@ -6,9 +6,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # The settings the library's plans count on.
 SETTINGS = {
@@ -52,7 +54,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-_open_scopes: list[list[str]] = []
+# Each thread has its own, so two streams of one driver never delete each other's tables.
+_scope: ContextVar[list[str] | None] = ContextVar("tarn_scope", default=None)
+
+#: Tables of so many bytes, counted as text and 16 more for each row, may be sent to all tasks.
+BROADCAST_BYTES = 32 << 20
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -65,11 +71,13 @@ def delete(spark: SparkSession, path: str) -> None:
 def staging(spark: SparkSession) -> Iterator[None]:
     """Deletes the tables staged inside when it ends. For jobs that write
     their result before that; a result that is still to be computed would miss them."""
-    _open_scopes.append([])
+    mine: list[str] = []
+    outer = _scope.set(mine)
     try:
         yield
     finally:
-        for path in _open_scopes.pop():
+        _scope.reset(outer)
+        for path in mine:
             delete(spark, path)
 
 
@@ -78,8 +86,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     branches of a plan read: each branch then scans only the rows and columns it
     needs, and a lost executor costs no recomputation."""
     path = work_dir(df.sparkSession, name)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+def measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``staged``, and how many rows that wrote. The table is marked for broadcast if its size, taken of all rows as they
+    were written, is within ``BROADCAST_BYTES``; beyond, joins with it shuffle."""
+    seen = Observation()
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+    table = staged(df.observe(seen, F.count("*").alias("rows"), F.sum(width).alias("bytes")), name)
+    rows, size = seen.get["rows"], seen.get["bytes"]
+    return (F.broadcast(table) if rows and size <= BROADCAST_BYTES else table), rows

@@ -59,6 +59,51 @@ def test_every_patch_is_applied_overwritten_or_refused(spark):
     assert (state["a"], state["b"]["c"], state["nums"]) == (1, 8, [9])
 
 
+def test_a_message_delivered_again_counts_once(spark):
+    rows = [
+        ("x", 5, ("/a", 7)), ("x", 5, ("/a", 7)), ("x", 6, ("/b/c", 2)), ("x", 6, ("/b/c", 3)), ("x", 6, ("/b/c", 3)),
+        ("x", 7, "no json"), ("x", 7, "no json"), (None, 8, ("/a", 1)), (None, 8, ("/a", 1)),
+    ]
+    rows += [("x", 9, '{"op":"replace","path":"","value":{"rows":[],"nums":[],"b":{"c":4},"a":7}}'), ("x", 9, ("", {"a": 7, "b": {"c": 4}, "nums": [], "rows": []}))]
+    e, log = entities_of(spark, ["x"]), log_of(spark, rows)
+    refused = P.patch_rejects(e, log, SCHEMA, "k", "seq").collect()
+    assert sorted((r["seq"], r["code"]) for r in refused) == [
+        (6, "duplicate_seq"), (6, "duplicate_seq"), (7, "malformed"), (8, "no_key"), (8, "no_key")
+    ]
+    state = P.apply_patch_log(e, log, SCHEMA, "k", "seq").first()
+    assert (state["a"], state["b"]["c"], state["nums"], state["last_seq"]) == (7, 4, [], 9)
+
+
+def plan_of(df):
+    """The physical plan as it ran."""
+    df.write.format("noop").mode("overwrite").save()
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().execute().count()
+    return qe.executedPlan().toString()
+
+
+def test_judging_adds_no_exchange_of_the_log(spark):
+    rows = [("x", i, ("/nums/1", i)) for i in range(20)] + [("x", 3, ("/a", 1)), ("x", 4, ("/nums/1", 4)), (None, 1, ("/a", 1))]
+    e, log = entities_of(spark, ["x"]), log_of(spark, rows)
+    count = lambda patches, **kw: plan_of(P.patch_rejects(e, patches, SCHEMA, "k", "seq", **kw)).count("Exchange hashpartitioning")
+    done = P.staged(P.judge_log(log, SCHEMA, "k", "seq"), "judged")
+    assert count(log) == count(done, judged=True)
+    assert "SortAggregate" not in plan_of(P.compact_patch_log(log, SCHEMA, "k", "seq"))
+
+
+def test_results_are_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
+    rows = [("x", i, (f"/nums/{i % 5}", i)) for i in range(30)] + [("x", 3, ("/a", 1)), ("x", 4, ("/nums/4", 4)), ("y", 1, ("/a", 1))]
+    e, log = entities_of(spark, ["x"]), log_of(spark, rows)
+
+    def both():
+        state = P.apply_patch_log(e, log, SCHEMA, "k", "seq").collect()
+        return state, sorted(P.patch_rejects(e, log, SCHEMA, "k", "seq").select("k", "seq", "path", "code").collect())
+
+    small = both()
+    monkeypatch.setattr("tarn.session.BROADCAST_BYTES", 0)
+    assert both() == small
+
+
 def test_taken_names_are_refused(spark):
     with pytest.raises(SchemaError):
         P.read_patch_log(spark.createDataFrame([(1, 1, "{}")], "code BIGINT, seq BIGINT, doc STRING"), "code", "seq")

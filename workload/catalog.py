@@ -42,9 +42,7 @@ def _log(spark, sf_dir) -> DataFrame:
 
 
 def _judged(spark, sf_dir) -> DataFrame:
-    """The log judged against the schema once, for queries that read it from
-    several sides."""
-    return staged(patches.judge_log(_log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ), "judged")
+    return patches.judge_log(_log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ)
 
 
 def _join_errors(field: str):
@@ -335,6 +333,14 @@ def q_apply_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entity_columns(patches.apply_patch_log(entities(spark, sf_dir), _log(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ))
 
 
+def q_apply_redelivered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with every third message delivered twice and every fifteenth a third time: the entities are the same."""
+    docs = patch_docs(spark, sf_dir)
+    again = docs.where(F.col(SEQ) % 3 == 0).unionByName(docs.where(F.col(SEQ) % 15 == 0))
+    log = patches.read_patch_log(docs.unionByName(again), KEY, SEQ)
+    return _entity_columns(patches.apply_patch_log(entities(spark, sf_dir), log, ENTITY_SCHEMA, KEY, SEQ))
+
+
 def q_patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = patches.patch_rejects(entities(spark, sf_dir), _judged(spark, sf_dir), ENTITY_SCHEMA, KEY, SEQ, judged=True)
     return out.select(KEY, SEQ, "op", "path", "code")
@@ -349,14 +355,16 @@ def q_patch_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_patch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of each patch of a log with missing keys, missing and repeated
-    numbers and broken documents: refused with a code, applied, or overwritten."""
+    numbers, broken documents and messages delivered again: refused with a code, applied, or overwritten."""
     log, at = patch_docs(spark, sf_dir), F.col(SEQ)
     broken = log.select(
         F.when(at % 97 != 0, F.col(KEY)).alias(KEY),
         F.when(at % 89 == 1, None).when(at % 7 == 3, at - at % 300).otherwise(at).alias(SEQ),
         F.when(at % 61 == 5, F.lit("oops")).otherwise(F.col("doc")).alias("doc"),
     )
-    judged = staged(patches.judge_log(patches.read_patch_log(broken, KEY, SEQ), ENTITY_SCHEMA, KEY, SEQ), "judged")
+    again = broken.where(F.col(KEY).isNotNull() & (F.col(SEQ) % 13 == 0))
+    log = patches.read_patch_log(broken.unionByName(again), KEY, SEQ)
+    judged = patches.judge_log(log, ENTITY_SCHEMA, KEY, SEQ)
     base = entities(spark, sf_dir)
     refused = patches.patch_rejects(base, judged, ENTITY_SCHEMA, KEY, SEQ, judged=True).select(F.col("code").alias("outcome"), F.lit(1).alias("n"))
     good = patches.path_in_data(base, judged, ENTITY_SCHEMA, KEY, SEQ, judged=True).where("in_data")

@@ -201,11 +201,16 @@ def oracle_sql() -> dict[str, str]:
         + """, b AS (
           SELECT CASE WHEN seq % 97 <> 0 THEN c_custkey END AS k1,
             CASE WHEN seq % 89 = 1 THEN NULL WHEN seq % 7 = 3 THEN seq - seq % 300 ELSE seq END AS s1,
-            seq % 61 = 5 AS oops, t, i, path FROM q
+            seq % 61 = 5 AS oops, t, i, path,
+            CASE WHEN seq % 61 <> 5 THEN path || ' ' || CASE WHEN t = 'view' THEN CAST(value AS VARCHAR)
+              WHEN t = 'click' THEN 'k' || k WHEN t IN ('purchase', 'signup') THEN CAST(k AS VARCHAR) ELSE 'yes' END END AS says FROM q
+        ), once AS (
+          SELECT * FROM b WHERE k1 IS NULL OR s1 IS NULL
+          UNION ALL SELECT DISTINCT ON (k1, s1, says) * FROM b WHERE k1 IS NOT NULL AND s1 IS NOT NULL
         ), judged AS (
           SELECT *, CASE WHEN k1 IS NULL THEN 'no_key' WHEN s1 IS NULL THEN 'no_seq'
             WHEN count(*) OVER (PARTITION BY k1, s1) > 1 THEN 'duplicate_seq' WHEN oops THEN 'malformed'
-            WHEN t = 'signup' OR i >= 3 THEN 'invalid_path' WHEN t = 'error' THEN 'invalid_patch' END AS code FROM b
+            WHEN t = 'signup' OR i >= 3 THEN 'invalid_path' WHEN t = 'error' THEN 'invalid_patch' END AS code FROM once
         )
         SELECT outcome, count(*) AS n FROM (
           SELECT coalesce(code, CASE WHEN s1 = max(s1) FILTER (code IS NULL) OVER (PARTITION BY k1, path)
@@ -222,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT c.c_custkey, CAST(count(path) AS INTEGER) AS n, max(seq) AS last_seq, string_agg(path, ',' ORDER BY seq) AS paths
           FROM customer c LEFT JOIN latest l ON l.c_custkey = c.c_custkey GROUP BY c.c_custkey""",
         "apply_patch_log": STATE,
+        "apply_redelivered_log": STATE,
         "stream_patch_log": STATE,
         "stream_apply_patches": PATCHES
         + """SELECT s.*, coalesce(p, 0) AS bad_paths, coalesce(v, 0) AS bad_values FROM state s LEFT JOIN (
