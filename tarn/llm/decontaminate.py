@@ -10,10 +10,11 @@ item, so that a window of very many items is spread as well. One block is one
 narrow pass; a benchmark of more blocks is scanned block after block, with the
 hits written in between, so that no task holds more than one.
 
-Defined cases: a null text has no words; an item without words or with a null
-``item_id`` has no window; repeated rows are each judged; an empty table
-gives no row, an empty benchmark no hit; further columns of either table are
-ignored by ``scan`` and kept by ``clean``. A very long text is worked on whole.
+Defined cases: a null text has no words; an item without words has no window; the windows of items with a null
+``item_id`` hit as all others do, but such an item is in no list and no count of items; repeated rows are each judged; an empty
+table gives no row, an empty benchmark no hit; further columns of either table are
+ignored by ``scan`` and kept by ``clean``. A very long text is scanned in pieces of bounded size, which share the words that
+a window across their border needs; taking spans out of one (``clean`` with ``spans``) works on it whole.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ _FOUND = ("_hit_from", "_hit_to", "_hit_items")
 
 def benchmark_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     """``(size, window, item)``: each distinct window of an item, its words joined
-    by spaces, with the item's id as a string."""
+    by spaces, with the item's id as a string, null where it has none."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,7 +58,7 @@ def benchmark_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
                 ["size", "window", "item"],
             )
 
-    rows = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), F.col("text"))
+    rows = items.select(F.col("item_id").cast("string"), F.col("text"))
     rows = rows.mapInArrow(cut, "size INT, window BINARY, item STRING")
     return rows.distinct()
 
@@ -68,17 +69,22 @@ class _Set:
     def __init__(self, rows):
         self.by_size = {}
         for size in sorted({r[0] for r in rows}):
+            own = [(bytes(window), item) for n, window, item in rows if n == size]
             table = {}
-            for _, window, item in (r for r in rows if r[0] == size):
-                parts = pa.array([bytes(window).decode()])
-                run = next(words_of.words(parts, words_of.ALNUM))
-                own = table.setdefault(int(words_of.run_of(run.hashes)), {})
-                own.setdefault(bytes(window), []).append(item)
+            for run in words_of.words(pa.array([w.decode() for w, _ in own], pa.string()), words_of.ALNUM):
+                # A window has exactly ``size`` words, so each begins where the one before ends.
+                hashes = words_of.runs(run.hashes, size)[:: size]
+                for (window, item), h in zip(own[run.lo :], hashes.tolist()):
+                    table.setdefault(h, {}).setdefault(window, []).append(item)
             hashes = np.array(sorted(table), np.uint64)
             bitmap = np.zeros(1 << _BITS, bool)
             bitmap[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
             self.by_size[size] = (bitmap, hashes, table)
 
+    @property
+    def longest(self) -> int:
+        return max(self.by_size, default=1)
+
     def find(self, run: words_of.Words) -> Iterator[tuple[int, int, list[str]]]:
         """Verified (first word, size, items), words counted over the run."""
         for size, (bitmap, hashes, table) in self.by_size.items():
@@ -123,12 +129,16 @@ def _scan_block(docs: DataFrame, shared, text: str) -> DataFrame:
             if _FOUND[0] in batch.schema.names:
                 for i, (lo, hi, got) in enumerate(zip(*(batch.column(c).to_pylist() for c in _FOUND))):
                     spans[i], items[i] = list(zip(lo, hi)), set(got)
-            for run in words_of.words(batch.column(text), words_of.ALNUM):
-                counts[run.lo : run.lo + len(run.first) - 1] = np.diff(run.first)
+            for run in words_of.word_pieces(batch.column(text), words_of.ALNUM, block.longest - 1):
+                # Words of the same text before this piece; more than none only for the later pieces of a long one.
+                before = int(counts[run.lo]) - run.carried
                 for k, size, owners in block.find(run):
                     i = int(np.searchsorted(run.first, k, side="right")) - 1
-                    spans[run.lo + i].append((k - int(run.first[i]), k - int(run.first[i]) + size))
-                    items[run.lo + i].update(owners)
+                    at = k - int(run.first[i]) + before
+                    spans[run.lo + i].append((at, at + size))
+                    items[run.lo + i].update(o for o in owners if o is not None)
+                counts[run.lo : run.lo + len(run.first) - 1] += np.diff(run.first)
+                counts[run.lo] -= run.carried
             spans = [_merge(s) if s else s for s in spans]
             made = {
                 _FOUND[0]: pa.array([[lo for lo, _ in s] for s in spans], pa.list_(pa.int64())),

@@ -67,7 +67,7 @@ def decontaminate_sql() -> str:
     return f"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_lower("text")}, {word}) AS w
-  FROM benchmark WHERE item_id IS NOT NULL
+  FROM benchmark
 ), windows AS (
   SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS gram
   FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM item WHERE len(w) > 0)
@@ -80,7 +80,7 @@ spans AS (
 ), hits AS (SELECT r, k, size, item FROM spans JOIN windows USING (size, gram)),
 spots AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hits) GROUP BY r),
 owners AS (
-  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

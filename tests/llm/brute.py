@@ -43,11 +43,11 @@ def contamination(text, items, n=10):
     for item, other in items:
         o = cut(other, ALNUM)
         size = min(n, len(o))
-        windows = {tuple(o[k : k + size]) for k in range(len(o) - size + 1)} if size and item is not None else set()
+        windows = {tuple(o[k : k + size]) for k in range(len(o) - size + 1)} if size else set()
         for k in range(len(w) - size + 1 if size else 0):
             if tuple(w[k : k + size]) in windows:
                 hit.update(range(k, k + size))
-                found.add(str(item))
+                found.update([] if item is None else [str(item)])
     return len(w), len(hit), sorted(found)
 
 

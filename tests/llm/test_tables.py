@@ -210,3 +210,21 @@ def test_visits_come_in_order_and_cross_no_cell_twice():
     made = V.visits(4, 80)
     assert made[0].sum() == 0 and len(made) == len({tuple(r) for r in made})
     assert not (made & made[:, ::-1]).any()
+
+
+def test_items_without_id_hit_and_are_not_listed(spark):
+    items = spark.createDataFrame([(None, "one two three"), (7, "four five"), (None, "four five")], "item_id BIGINT, text STRING")
+    docs = spark.createDataFrame([(1, "a One, two three b"), (2, "four five"), (3, "one two")], "doc_id BIGINT, text STRING")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"]) for r in D.scan(docs, items).collect()}
+    assert got == {1: (3, 0, []), 2: (2, 1, ["7"]), 3: (0, 0, [])}
+    assert [r["doc_id"] for r in D.clean(docs, items).collect()] == [3]
+
+
+def test_windows_across_the_pieces_of_a_long_text(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    texts = ["x " * (1_000_000 - pad) + item + " y" * 1_200_000 + " " + item + " z" * 900 for pad in (0, 10, 20, 30, 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(5)
+    items = spark.createDataFrame([(1, item), (2, "z z")], "item_id BIGINT, text STRING")
+    got = D.scan(docs, items).select("doc_id", "n_words", "n_hit", "items").collect()
+    wanted = {i: (1_000_000 - pad + 1_200_000 + 900 + 22, 22 + 900, ["1", "2"]) for i, pad in enumerate((0, 10, 20, 30, 40))}
+    assert {r["doc_id"]: tuple(r[1:]) for r in got} == wanted
