@@ -83,6 +83,14 @@ def q_write_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lake_result(spark, path)
 
 
+def q_write_lake_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads by name, the second run twice as after a lost job."""
+    path, docs = work_dir(spark, "lake-batches"), _docs(spark, sf_dir)
+    for name, part in (("even", 0), ("odd", 1), ("odd", 1)):
+        write_lake(docs.where(F.col("event_id") % 2 == part), EVENT_SCHEMA, path, keep=["event_id"], batch=name)
+    return _lake_result(spark, path)
+
+
 def _lake_result(spark: SparkSession, path: str) -> DataFrame:
     good = read_lake(spark, path).select("event_id", F.lit(True).alias("ok"), "kind", "amount", F.lit(0).alias("n_errors"))
     bad = read_lake(spark, path, valid=False).select(

@@ -121,6 +121,7 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT c_custkey, seq, 'replace' AS op, path, CASE t WHEN 'click' THEN CAST(k AS VARCHAR) WHEN 'error' THEN 'yes' END AS txt,
           CAST(CASE t WHEN 'view' THEN value WHEN 'purchase' THEN k WHEN 'signup' THEN k END AS DOUBLE) AS num FROM q""",
         "write_lake": LAKE,
+        "write_lake_batches": LAKE,
         "stream_ingest": LAKE,
         "decode": DOCS
         + """SELECT event_id, CASE WHEN f >= 4 THEN event_id END AS id, CASE WHEN f >= 4 THEN epoch_us(ts) END AS at_us,
