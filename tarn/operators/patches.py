@@ -189,7 +189,7 @@ def validate_patches(patches: DataFrame, schema: T.DataType | str) -> DataFrame:
     return checked.withColumn("code", code).withColumn("errors", full).drop("_errors")
 
 
-def _digest() -> Column:
+def content() -> Column:
     """What a patch says, as a short hash: equal for copies of one message."""
     return F.md5(F.to_json(F.array("op", "path", F.to_json("value"), "raw")))
 
@@ -220,7 +220,7 @@ def judge_log(patches: DataFrame, schema: T.DataType | str, key: str | list[str]
 def _settled(suspects: DataFrame, named: list[str]) -> DataFrame:
     """Of patches that share an entity and a number, one of each content; refused where there are several."""
     others = [c for c in suspects.columns if c not in named]
-    each = suspects.groupBy(*[quoted(c) for c in named], _digest().alias("_digest")).agg(
+    each = suspects.groupBy(*[quoted(c) for c in named], content().alias("_content")).agg(
         F.any_value(F.struct(*[top(c).alias(c) for c in others])).alias("_p")
     )
     each = staged(each, "repeated-patches")

@@ -67,6 +67,21 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def claim(spark: SparkSession, path: str, owner: str) -> bool:
+    """Create a file that names its owner; false if one stands there already and names another."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        file = store.create(place, False)
+        file.write(bytearray(owner.encode()))
+        file.close()
+    file = store.open(place)
+    try:
+        return bytes(file.readAllBytes()).decode() == owner
+    finally:
+        file.close()
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Deletes the tables staged inside when it ends. For jobs that write

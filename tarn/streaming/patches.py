@@ -13,13 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tarn.operators.patches import (
     REJECT_COLUMNS,
     apply_patch_log,
+    content,
     judge_log,
     patch_rejects,
     read_patch_log,
     validate_patches,
 )
-from tarn.plans.columns import as_list, top
-from tarn.session import delete, staged, staging
+from tarn.plans.columns import as_list, quoted, top
+from tarn.session import claim, delete, measured, staged, staging
 
 
 # Fixed value: a row for each version of the entities.
@@ -54,7 +55,7 @@ def stream_patch_log(
 
 
 def fold_patches(
-    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str
+    entities: DataFrame, patches: DataFrame, schema: T.DataType | str, key: str | list[str], seq: str, judged: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """One step: entities carrying ``last_seq`` and a batch of patches in, the
     next entities and the batch's rejects out. Patches not newer than
@@ -64,11 +65,11 @@ def fold_patches(
     The patches are joined with the entities' marks only to report: a join by
     entity ahead of the aggregations would bring a busy entity to one task."""
     keys = as_list(key)
-    judged = judge_log(patches, schema, keys, seq)
-    after = apply_patch_log(entities, judged, schema, keys, seq, judged=True)
+    checked = patches if judged else judge_log(patches, schema, keys, seq)
+    after = apply_patch_log(entities, checked, schema, keys, seq, judged=True)
     marks = entities.select(*[top(k) for k in keys], F.col("last_seq").alias("_mark")).where("_mark IS NOT NULL")
-    late = judged.join(marks, keys).where(top(seq) <= F.col("_mark")).withColumn("code", F.lit("stale_seq"))
-    refused = patch_rejects(entities, judged, schema, keys, seq, judged=True).join(marks, keys, "left")
+    late = checked.join(marks, keys).where(top(seq) <= F.col("_mark")).withColumn("code", F.lit("stale_seq"))
+    refused = patch_rejects(entities, checked, schema, keys, seq, judged=True).join(marks, keys, "left")
     refused = refused.where(F.col("_mark").isNull() | (top(seq) > F.col("_mark"))).drop("_mark")
     return after, refused.unionByName(late.select(*[top(k) for k in keys], top(seq), *REJECT_COLUMNS))
 
@@ -92,30 +93,36 @@ def _version_of(spark: SparkSession, out: str, stream: str, batch_id: int) -> in
     return own.agg(F.max("version")).first()[0]
 
 
-# The table of entities is cut into so many parts by the hash of the key, and
-# so many versions of it stay readable.
-BUCKETS = 64
+# The table of entities is cut into so many parts at first, by the leading bits of the key's hash; a part of more
+# bytes is split by further bits; and so many versions stay readable.
+FIRST_BITS, MOST_BITS = 6, 32
+BUCKET_BYTES = 128 << 20
 KEPT_VERSIONS = 2
 
+# Columns that the stored entities carry besides their own: where they lie, and the numbers that were in the entity from the
+# start and were met since.
+HIDDEN = ["_bucket", "_from", "_met"]
 
-def _bucket(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*[top(k) for k in keys]), F.lit(BUCKETS)).cast("int")
 
+def _bits(keys: list[str]) -> Column:
+    return F.lpad(F.bin(F.shiftrightunsigned(F.xxhash64(*[top(k) for k in keys]), 64 - MOST_BITS)), MOST_BITS, "0")
 
-def _manifest(spark: SparkSession, out: str, version: int) -> dict[int, int]:
-    """For each bucket, the version that holds its rows; ``BUCKETS`` entries at most."""
-    rows = spark.read.schema("bucket INT, of INT").parquet(f"{out}/manifests/version={version}").collect()
-    return {r["bucket"]: r["of"] for r in rows}
 
+def _prefix(keys: list[str], bits: int | Column) -> Column:
+    length = F.lit(bits) if isinstance(bits, int) else bits
+    return F.concat(F.lit("b"), F.substring(_bits(keys), F.lit(1), length))
 
-def _buckets(spark: SparkSession, out: str, manifest: dict[int, int], wanted: list[int]) -> DataFrame:
-    paths = [f"{out}/entities/version={manifest[b]}/_bucket={b}" for b in wanted]
-    if paths:
-        return spark.read.parquet(*paths)
-    some = next(iter(manifest.items()), None)
-    if some is None:
-        raise ValueError(f"{out} holds no entity")
-    return spark.read.parquet(f"{out}/entities/version={some[1]}/_bucket={some[0]}").limit(0)
+
+def _manifest(spark: SparkSession, out: str, version: int) -> DataFrame:
+    """A row per bucket, its name the prefix of its hashes: the version that holds its rows."""
+    return spark.read.schema("bucket STRING, of BIGINT").parquet(f"{out}/manifests/version={version}")
+
+
+def _buckets(spark: SparkSession, out: str, found: list) -> DataFrame:
+    paths = [f"{out}/entities/version={r['of']}/_bucket={r['bucket']}" for r in found]
+    rows = spark.read.parquet(*paths)
+    bucket = F.regexp_extract("_metadata.file_path", "_bucket=(b[01]*)", 1)
+    return rows.select("*", bucket.alias("_bucket"))
 
 
 def read_entities(spark: SparkSession, out: str, version: int | None = None) -> DataFrame:
@@ -123,19 +130,51 @@ def read_entities(spark: SparkSession, out: str, version: int | None = None) ->
     version = latest_version(spark, out) if version is None else version
     if version is None:
         raise ValueError(f"no committed version in {out}")
-    manifest = _manifest(spark, out, version)
-    return _buckets(spark, out, manifest, sorted(manifest))
+    return _buckets(spark, out, _manifest(spark, out, version).collect()).drop(*HIDDEN)
+
+
+def _touched(manifest: DataFrame, patches: DataFrame, keys: list[str]) -> list:
+    """The buckets that hold the keys of patches. Buckets differ in length, but none is the beginning of another."""
+    lengths = [r[0] for r in manifest.select(F.length("bucket") - 1).distinct().collect()]
+    asked = patches.select(F.explode(F.array(*[_prefix(keys, n) for n in lengths])).alias("bucket")).distinct()
+    return manifest.join(asked, "bucket", "left_semi").collect()
+
+
+def _sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The bytes of each bucket of a version."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+    return files.groupBy(F.regexp_extract("path", "_bucket=(b[01]*)", 1).alias("bucket")).agg(F.sum("length").alias("bytes"))
+
+
+def _write_version(spark: SparkSession, out: str, entities: DataFrame, keys: list[str], version: int) -> None:
+    """Write touched buckets, each as one file, then split those over ``BUCKET_BYTES`` until none is, or one key is left in it."""
+    folder = f"{out}/entities/version={version}"
+    entities.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(folder)
+    tried: set[str] = set()
+    while True:
+        large = [
+            r for r in _sizes(spark, folder).where(F.col("bytes") > BUCKET_BYTES).collect()
+            if r["bucket"] not in tried and len(r["bucket"]) <= MOST_BITS
+        ]
+        if not large:
+            return
+        for r in large:
+            own = spark.read.parquet(f"{folder}/_bucket={r['bucket']}")
+            more = max(1, (-(-r["bytes"] // BUCKET_BYTES) - 1).bit_length())
+            depth = min(MOST_BITS, len(r["bucket"]) - 1 + more)
+            parts = own.withColumn("_bucket", _prefix(keys, depth))
+            parts.repartition("_bucket").write.mode("append").partitionBy("_bucket").parquet(folder)
+            delete(spark, f"{folder}/_bucket={r['bucket']}")
+            tried |= {r["bucket"]}
 
 
-def _write_version(
-    spark: SparkSession, out: str, entities: DataFrame, keys: list[str], version: int, before: dict[int, int], touched: list[int]
-) -> None:
-    """Write the touched buckets and the manifest of a version."""
-    rows = entities.withColumn("_bucket", _bucket(keys))
-    rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{out}/entities/version={version}")
-    manifest = [(b, version if b in touched else of) for b, of in before.items()]
-    listed = spark.createDataFrame(manifest, "bucket INT, of INT").coalesce(1)
-    listed.write.mode("overwrite").parquet(f"{out}/manifests/version={version}")
+def _list_version(spark: SparkSession, out: str, before: DataFrame | None, touched: list, version: int) -> None:
+    """The manifest: buckets of this version, and those of the one before that were not touched."""
+    made = _sizes(spark, f"{out}/entities/version={version}").select("bucket", F.lit(version).cast("bigint").alias("of"))
+    if before is not None:
+        gone = spark.createDataFrame([(r["bucket"],) for r in touched], "bucket STRING")
+        made = made.unionByName(before.join(gone, "bucket", "left_anti"))
+    made.write.mode("overwrite").parquet(f"{out}/manifests/version={version}")
 
 
 def _drop_old(spark: SparkSession, out: str, version: int) -> None:
@@ -143,20 +182,23 @@ def _drop_old(spark: SparkSession, out: str, version: int) -> None:
     old = version - KEPT_VERSIONS
     if old < -1:
         return
-    kept = _manifest(spark, out, old + 1)
-    for bucket, of in _manifest(spark, out, old).items():
-        if kept[bucket] != of:
-            delete(spark, f"{out}/entities/version={of}/_bucket={bucket}")
+    gone = _manifest(spark, out, old).join(_manifest(spark, out, old + 1), ["bucket", "of"], "left_anti")
+    for r in gone.toLocalIterator():
+        delete(spark, f"{out}/entities/version={r['of']}/_bucket={r['bucket']}")
 
 
 def start_entities(entities: DataFrame, out: str, key: str | list[str]) -> None:
-    """Write the first version, before any patch."""
+    """Write the entities as they are before any patch, and from those the first version."""
     spark, keys = entities.sparkSession, as_list(key)
     if latest_version(spark, out) is not None:
         return
     first = entities if "last_seq" in entities.columns else entities.withColumn("last_seq", F.lit(None).cast("bigint"))
-    used = [r[0] for r in first.select(_bucket(keys)).distinct().collect()]
-    _write_version(spark, out, first, keys, -1, dict.fromkeys(used, -1), used)
+    first.write.mode("overwrite").parquet(f"{out}/base")
+    rows = spark.read.parquet(f"{out}/base").select(
+        "*", F.col("last_seq").alias("_from"), F.col("last_seq").alias("_met"), _prefix(keys, FIRST_BITS).alias("_bucket")
+    )
+    _write_version(spark, out, rows, keys, -1)
+    _list_version(spark, out, None, [], -1)
     _commit(spark, out, -1, "", -1)
 
 
@@ -167,6 +209,34 @@ def _commit(spark: SparkSession, out: str, version: int, stream: str, batch_id:
     row.write.mode("append").parquet(f"{out}/commits")
 
 
+def _ledger(spark: SparkSession, out: str, version: int) -> DataFrame | None:
+    """All patches met up to a version."""
+    try:
+        return spark.read.parquet(f"{out}/ledger").where(F.col("version") <= version)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _disturbed(before: DataFrame, judged: DataFrame, past: DataFrame | None, keys: list[str], seq: str) -> tuple[DataFrame, int]:
+    """The keys of entities whose patches do not simply follow those met before: one comes late, or has the number of another
+    that says something else. Copies of patches met before are none. The ledger is asked only about such numbers, which its
+    files' ranges of numbers narrow down."""
+    named = [quoted(k) for k in keys]
+    least = judged.groupBy(*named).agg(F.min(top(seq)).alias("_least"))
+    marks = before.select(*named, "_from", "_met").where("_met IS NOT NULL")
+    returning, n = measured(least.join(marks, keys).where("_least <= _met").select(*named, "_from", "_met"), "returning")
+    if not n or past is None:
+        return returning.select(*named), 0
+    new = F.col("_from").isNull() | (top(seq) > F.col("_from"))
+    old = judged.join(returning, keys).where((top(seq) <= F.col("_met")) & new)
+    old = staged(old.select(*named, quoted(seq), content().alias("_content")), "old-numbers")
+    lowest, highest = old.agg(F.min(top(seq)), F.max(top(seq))).first()
+    known = past.where(top(seq).between(lowest, highest)).select(*named, quoted(seq), "_content")
+    return measured(old.join(known, [*keys, seq, "_content"], "left_anti").select(*named).distinct(), "disturbed")
+
+
 def fold_batch(
     schema: T.DataType | str, key: str | list[str], seq: str, out: str, doc: str | None = "doc", stream: str = ""
 ) -> Callable[[DataFrame, int], None]:
@@ -175,7 +245,14 @@ def fold_batch(
     what no kept version names. Versions have a counter of
     their own; a commit names the stream (its checkpoint, say) and its batch. So a batch
     that is run again finds its commit and does nothing, or overwrites what it left, and
-    a stream with a new checkpoint counts from 0 without losing anything."""
+    a stream with a new checkpoint counts from 0 without losing anything.
+
+    The entities are those that ``apply_patch_log`` makes of the whole log, however it is cut into batches and whatever
+    comes late or again. A ledger keeps all patches met. Numbers that only go up are folded onto the entity; a copy of a patch in
+    the ledger changes nothing; where a patch comes late, or unlike another of its number, that
+    entity alone is made again from its start and the ledger (and all its refusals are reported again, as ``rebuilt``).
+
+    Only one stream may write to ``out``: a version that another one has begun is refused (``claim``)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -184,17 +261,38 @@ def fold_batch(
             raise ValueError(f"call start_entities for {out} first")
         if _version_of(spark, out, stream, batch_id) is not None:
             return
-        keys, manifest = as_list(key), _manifest(spark, out, version)
+        keys, now = as_list(key), version + 1
+        if not claim(spark, f"{out}/claims/version={now}", f"{stream}#{batch_id}"):
+            raise RuntimeError(f"another stream writes to {out}; if it is gone for good, delete {out}/claims/version={now}")
         with staging(spark):
             patches = staged(batch if doc is None else read_patch_log(batch, key, seq, doc), "batch")
-            named = patches.select(_bucket(keys)).distinct().collect()
-            touched = sorted({r[0] for r in named} & manifest.keys())
-            before = _buckets(spark, out, manifest, touched)
-            after, rejects = fold_patches(before, patches, schema, key, seq)
-            _write_version(spark, out, after, keys, version + 1, manifest, touched)
-            rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={version + 1}")
-        _commit(spark, out, version + 1, stream, batch_id)
-        _drop_old(spark, out, version + 1)
+            judged = judge_log(patches, schema, keys, seq)
+            manifest = _manifest(spark, out, version)
+            touched = _touched(manifest, patches, keys)
+            before = _buckets(spark, out, touched or manifest.limit(1).collect())
+            before = before if touched else before.limit(0)
+            past = _ledger(spark, out, version)
+            odd, n = _disturbed(before, judged, past, keys, seq)
+            plain = before.join(odd, keys, "left_anti") if n else before
+            after, rejects = fold_patches(plain, judged, schema, keys, seq, judged=True)
+            rejects = rejects.withColumn("rebuilt", F.lit(False))
+            if n:
+                base = spark.read.parquet(f"{out}/base").join(odd, keys, "left_semi")
+                log = past.select(*patches.columns).unionByName(patches).join(odd, keys, "left_semi")
+                made, refused = fold_patches(base, log, schema, keys, seq)
+                made = made.join(before.select(*[quoted(k) for k in keys], *HIDDEN).join(odd, keys, "left_semi"), keys)
+                after = after.unionByName(made)
+                rejects = rejects.join(odd, keys, "left_anti").unionByName(refused.withColumn("rebuilt", F.lit(True)))
+            met = judged.groupBy(*[quoted(k) for k in keys]).agg(F.max(top(seq)).alias("_newest"))
+            after = after.join(met, keys, "left").withColumn("_met", F.greatest("_met", "_newest")).drop("_newest")
+            _write_version(spark, out, after, keys, now)
+            _list_version(spark, out, manifest, touched, now)
+            numbered = judged.where(F.greatest(*[top(c).isNull() for c in (*keys, seq)]) == F.lit(False))
+            numbered = numbered.select(*[top(c) for c in patches.columns], content().alias("_content"))
+            numbered.write.mode("overwrite").parquet(f"{out}/ledger/version={now}")
+            rejects.write.mode("overwrite").parquet(f"{out}/rejects/version={now}")
+        _commit(spark, out, now, stream, batch_id)
+        _drop_old(spark, out, now)
 
     return run
 
@@ -211,7 +309,7 @@ def stream_apply_patches(
     **trigger,
 ) -> StreamingQuery:
     """Keep a versioned table of entities up to date from a stream of patch
-    documents. State lives in the table, so it is bounded by the entities, and
+    documents. State lives in tables, the entities and the ledger of patches met, and
     the last versions can be read while the stream runs. A batch rewrites the buckets
     that its keys fall in, which is all of them for a batch of many keys; where that
     is too much, use ``stream_patch_log`` and fold
