@@ -219,22 +219,28 @@ def _ledger(spark: SparkSession, out: str, version: int) -> DataFrame | None:
         return None
 
 
-def _disturbed(before: DataFrame, judged: DataFrame, past: DataFrame | None, keys: list[str], seq: str) -> tuple[DataFrame, int]:
-    """The keys of entities whose patches do not simply follow those met before: one comes late, or has the number of another
-    that says something else. Copies of patches met before are none. The ledger is asked only about such numbers, which its
-    files' ranges of numbers narrow down."""
+def _met_before(
+    before: DataFrame, judged: DataFrame, past: DataFrame | None, keys: list[str], seq: str
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Of a batch, the numbers that their entities met before, and the keys of entities whose patches do not simply follow
+    those met: one comes late, or has the number of another that says something else. Either is None where there is none. The ledger is
+    asked only about such numbers, which its files' ranges of numbers narrow down."""
     named = [quoted(k) for k in keys]
     least = judged.groupBy(*named).agg(F.min(top(seq)).alias("_least"))
     marks = before.select(*named, "_from", "_met").where("_met IS NOT NULL")
     returning, n = measured(least.join(marks, keys).where("_least <= _met").select(*named, "_from", "_met"), "returning")
     if not n or past is None:
-        return returning.select(*named), 0
+        return None, None
     new = F.col("_from").isNull() | (top(seq) > F.col("_from"))
     old = judged.join(returning, keys).where((top(seq) <= F.col("_met")) & new)
-    old = staged(old.select(*named, quoted(seq), content().alias("_content")), "old-numbers")
+    old, n = measured(old.select(*named, quoted(seq), content().alias("_content")), "old-numbers")
+    if not n:
+        return None, None
     lowest, highest = old.agg(F.min(top(seq)), F.max(top(seq))).first()
     known = past.where(top(seq).between(lowest, highest)).select(*named, quoted(seq), "_content")
-    return measured(old.join(known, [*keys, seq, "_content"], "left_anti").select(*named).distinct(), "disturbed")
+    found = known.join(old, [*keys, seq, "_content"], "left_semi")
+    odd, n = measured(old.join(found, [*keys, seq, "_content"], "left_anti").select(*named).distinct(), "disturbed")
+    return old.select(*named, quoted(seq)), odd if n else None
 
 
 def fold_batch(
@@ -272,11 +278,15 @@ def fold_batch(
             before = _buckets(spark, out, touched or manifest.limit(1).collect())
             before = before if touched else before.limit(0)
             past = _ledger(spark, out, version)
-            odd, n = _disturbed(before, judged, past, keys, seq)
-            plain = before.join(odd, keys, "left_anti") if n else before
-            after, rejects = fold_patches(plain, judged, schema, keys, seq, judged=True)
+            again, odd = _met_before(before, judged, past, keys, seq)
+            plain = before if odd is None else before.join(odd, keys, "left_anti")
+            # Numbers met before were refused then if they are past the last one applied, and stay so.
+            done = plain.select(*[quoted(k) for k in keys], F.col("last_seq").alias("_done"))
+            left_out = None if again is None else again.join(done, keys).where(F.col("_done").isNull() | (top(seq) > F.col("_done")))
+            fresh = judged if again is None else judged.join(left_out.select(*[quoted(c) for c in (*keys, seq)]), [*keys, seq], "left_anti")
+            after, rejects = fold_patches(plain, fresh, schema, keys, seq, judged=True)
             rejects = rejects.withColumn("rebuilt", F.lit(False))
-            if n:
+            if odd is not None:
                 base = spark.read.parquet(f"{out}/base").join(odd, keys, "left_semi")
                 log = past.select(*patches.columns).unionByName(patches).join(odd, keys, "left_semi")
                 made, refused = fold_patches(base, log, schema, keys, seq)
