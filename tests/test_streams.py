@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tarn.sources.lake import read_lake
 from tarn.streaming.ingest import stream_ingest
+from tarn.streaming.state import entities_from_state, latest_patches, stream_latest_patches
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
 from tests.replay import replay
 from tests.test_patches import SCHEMA, fits, make_log, state_of, to_frames, types_at
@@ -36,6 +37,22 @@ def test_patch_stream_equals_batch(spark, tmp_path):
     assert state_of(current_entities(e, out, SCHEMA, "k", "seq")) == wanted
 
 
+def test_state_holds_the_latest_patches_over_restarts(spark, tmp_path):
+    source, ckpt = (str(tmp_path / n) for n in ("source", "ckpt"))
+    entities, log = make_log(13, n=120)
+    e, _ = to_frames(spark, entities, log)
+    wanted, _ = replay(entities, log, fits, types_at)
+    docs = [(k, s, json.dumps({"op": op, "path": path, "value": v})) for k, s, op, path, v in log]
+    # Later halves first, then everything again.
+    for part in (docs[60:], docs[30:], docs):
+        spark.createDataFrame(part, "k BIGINT, seq BIGINT, doc STRING").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k BIGINT, seq BIGINT, doc STRING").parquet(source)
+        stream_latest_patches(stream, SCHEMA, "k", "seq", ckpt, once=True).awaitTermination()
+    assert state_of(entities_from_state(e, ckpt, SCHEMA, "k", "seq")) == wanted
+    held = latest_patches(spark, ckpt, "k", "seq")
+    assert held.count() == held.select("k", "path").distinct().count() <= 120
+
+
 def test_batches_replays_and_late_patches(spark, tmp_path):
     out = str(tmp_path / "entities")
     entities, log = make_log(12, n=120)

@@ -19,6 +19,7 @@ from tarn.operators.validate import (
 from tarn.session import staged, work_dir
 from tarn.sources.lake import read_json_docs, read_lake, read_parquet_as, write_lake
 from tarn.streaming.ingest import stream_ingest
+from tarn.streaming.state import entities_from_state, stream_latest_patches
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
 from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, entities, event_docs, patch_docs, table
 
@@ -445,6 +446,27 @@ def q_stream_apply_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entity_columns(rows, "bad_paths", "bad_values")
 
 
+def q_stream_latest_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest patches as stream state: half of the log, then, after a restart, all of it."""
+    source, ckpt = (work_dir(spark, f"latest-{n}") for n in ("source", "checkpoint"))
+    log = patch_docs(spark, sf_dir)
+    for part in (log.where(F.col(SEQ) % 2 == 0), log):
+        part.repartition(2).write.mode("append").parquet(source)
+        docs = spark.readStream.schema(f"{KEY} BIGINT, {SEQ} BIGINT, doc STRING").parquet(source)
+        stream_latest_patches(docs, ENTITY_SCHEMA, KEY, SEQ, ckpt, once=True).awaitTermination()
+    return _entity_columns(entities_from_state(entities(spark, sf_dir), ckpt, ENTITY_SCHEMA, KEY, SEQ))
+
+
+def q_stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The body of the patch stream on batches that come out of order and overlap."""
+    out, log = work_dir(spark, "redelivered"), patch_docs(spark, sf_dir)
+    start_entities(entities(spark, sf_dir), out, KEY)
+    run = fold_batch(ENTITY_SCHEMA, KEY, SEQ, out)
+    for batch, wanted in enumerate((F.col(SEQ) % 5 < 3, F.col(SEQ) % 5 > 1)):
+        run(log.where(wanted), batch)
+    return _entity_columns(read_entities(spark, out))
+
+
 # -- synthetic data --------------------------------------------------------------------
 
 

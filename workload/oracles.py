@@ -230,6 +230,8 @@ def oracle_sql() -> dict[str, str]:
         "apply_patch_log": STATE,
         "apply_redelivered_log": STATE,
         "stream_patch_log": STATE,
+        "stream_latest_patches": STATE,
+        "stream_redelivered": STATE,
         "stream_apply_patches": PATCHES
         + """SELECT s.*, coalesce(p, 0) AS bad_paths, coalesce(v, 0) AS bad_values FROM state s LEFT JOIN (
           SELECT c_custkey, count(*) FILTER (t = 'signup' OR i >= 3) AS p, count(*) FILTER (t = 'error') AS v FROM q GROUP BY c_custkey
