@@ -50,6 +50,8 @@ _STATES = len(GRAMMAR)
 _LABELS = "\0DIKR"
 #: Rows are coded ``A`` to ``P``: initial (one of three, or another) times fault.
 _CODES = "ABCDEFGHIJKLMNOP"
+#: Rows of conversations that one task solves.
+LETTERS_PER_TASK = 100_000
 #: Rows whose arcs are spelled out at once.
 _BLOCK = 1 << 16
 
@@ -240,7 +242,9 @@ def audits(turns: DataFrame) -> DataFrame:
         whole.select("conv_id", F.array_join(F.transform("_parts", lambda p: p["code"]), "").alias("codes"), gaps.alias("gaps")),
         "repair-codes",
     )
-    solved = coded.select("conv_id", "codes").mapInPandas(_solve, AUDITS)
+    # Coded conversations are small but take time to solve, so tasks are cut by letters, not by bytes.
+    letters = coded.agg(F.sum(F.length("codes"))).first()[0] or 0
+    solved = coded.select("conv_id", "codes").repartition(1 + letters // LETTERS_PER_TASK).mapInPandas(_solve, AUDITS)
     lengths = coded.select(F.col("conv_id").alias("_conv"), "gaps")
     return solved.join(lengths, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
 
