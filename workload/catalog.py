@@ -27,6 +27,11 @@ LINEITEM_SCHEMA = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
     "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP"
 )
+ORDERS_SCHEMA = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP, o_orderpriority STRING"
+)
+LINES = LINEITEM_SCHEMA.split(", ")[1:]
+NESTED_SCHEMA = f"{ORDERS_SCHEMA}, lines ARRAY<STRUCT<{', '.join(f.replace(' ', ': ') for f in LINES)}>>"
 KEY, SEQ = "c_custkey", "seq"
 
 
@@ -168,6 +173,29 @@ def q_from_avro_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("l_shipdate", F.date_format(shown, "yyyy-MM-dd HH:mm:ss"))
 
 
+def _nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, each with an array of its lines: dates stand at the top and inside the array."""
+    lines = read_parquet_as(spark, f"{sf_dir}/lineitem.parquet", LINEITEM_SCHEMA)
+    line = F.struct(*[f.split()[0] for f in LINES])
+    held = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"))
+    orders = read_parquet_as(spark, f"{sf_dir}/orders.parquet", ORDERS_SCHEMA)
+    return orders.join(held, "o_orderkey", "left").withColumn("lines", F.coalesce("lines", F.array()))
+
+
+def _spread_orders(nested: DataFrame, shown) -> DataFrame:
+    rows = nested.select("*", F.inline_outer("lines")).drop("lines")
+    return rows.withColumns({c: shown(c) for c in ("o_orderdate", "l_shipdate")})
+
+
+def q_avro_layout_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spread_orders(project.avro_layout(_nested_orders(spark, sf_dir), NESTED_SCHEMA), F.col)
+
+
+def q_from_avro_layout_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = project.from_avro_layout(project.avro_layout(_nested_orders(spark, sf_dir), NESTED_SCHEMA), NESTED_SCHEMA)
+    return _spread_orders(back, lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss"))
+
+
 def q_to_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project.to_rows(_good(spark, sf_dir), EVENT_SCHEMA)
     docs = project.to_json_docs(rows, EVENT_SCHEMA, keep=["id"])

@@ -141,6 +141,11 @@ def oracle_sql() -> dict[str, str]:
         "explode_nodes": LEAVES,
         "avro_layout": "SELECT * REPLACE (epoch_ms(l_shipdate) AS l_shipdate) FROM lineitem",
         "from_avro_layout": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem",
+        "avro_layout_nested": """SELECT o.* REPLACE (epoch_ms(o_orderdate) AS o_orderdate), l.* EXCLUDE (l_orderkey) REPLACE (epoch_ms(l_shipdate) AS l_shipdate)
+          FROM orders o LEFT JOIN lineitem l ON l_orderkey = o_orderkey""",
+        "from_avro_layout_nested": """SELECT o.* REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate),
+          l.* EXCLUDE (l_orderkey) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate)
+          FROM orders o LEFT JOIN lineitem l ON l_orderkey = o_orderkey""",
         "to_json_docs": DOCS
         + f"SELECT event_id AS id, {ISO} AS at, event_type AS kind, value AS amount, CAST(CAST(CAST(value / 100 AS FLOAT) AS VARCHAR) AS DOUBLE) AS ratio, value > 50 AS big, "
         + f"CAST(user_id AS INTEGER) AS user_id, k AS user_k, {ITEMS_JSON} AS items, event_type AS tag FROM good",
