@@ -18,14 +18,19 @@ is few. A query that still finds fewer than ``k``, though there are more, is com
 with all vectors: its buckets say nothing, as when one long vector puts all others
 into nearly one bucket.
 
-The stated queries meet all vectors in blocks: blocks of queries and tiles of
-vectors, both dealt by hash and of bounded size, so no bucket is ever gathered.
+Where the sample's queries meet less than ``LOOKUP_PART`` of all vectors in their
+buckets, the visits are joined with the indexed vectors by bucket. Small buckets share
+parts, each query and vector is sent once to a part that it meets, and a larger bucket
+is cut into blocks of queries and tiles of vectors, so no bucket is ever gathered.
+Otherwise (where visits cover more, and for queries left short) blocks of queries meet
+all tiles of vectors, dealt by hash. Both ways compare the same pairs. A part returns ``k`` vectors for each of its queries, never pairs.
 Equal vectors are one row with their smallest ids, as no result needs more of them.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components,
 and those whose length is not the commonest one, take no part; ties go to the
 smaller id; rows that repeat an id count once for each distinct vector; a query
-with fewer candidates gets all there are; an empty table gives no row.
+with fewer candidates gets all there are; an empty table gives no row; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,12 +45,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tarn.session import staged
+from tarn.session import measured, staged
 
 TABLES, FUNCTIONS, CELL = 6, 10, 3.0
 MOST_VISITS = 1500
 SAMPLE_QUERIES, REACH = 100, 0.95
 BLOCK_QUERIES, TILE_VALUES = 1024, 1 << 19
+#: Buckets are looked up where that compares less than this part of all pairs.
+LOOKUP_PART = 0.25
+#: A bucket with more than a block or a tile over this is cut up, not put into a shared part.
+PART_BUCKETS = 8
 
 _FOUND = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
@@ -124,17 +133,28 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """In single precision, scaled so that no vector is longer than 1."""
+    largest = np.abs(x).max(initial=0.0) or 1.0
+    x = x / largest
+    return (x / np.sqrt((x * x).sum(axis=1)).max(initial=1.0)).astype(np.float32)
+
+
 def _best(own: int, q: np.ndarray, x: np.ndarray, x32: np.ndarray, at: np.ndarray, ids: list, k: int):
-    """The ``k`` best (score, id) of the vectors ``at``, the query's own id left out."""
+    """The ``k`` best (score, id) of the vectors ``at``, the query's own id left out.
+
+    Products in single precision pick those that are scored exactly. Of vectors no
+    longer than 1 they err by at most half of ``margin``, which therefore keeps every
+    vector that may be among the best."""
     if not len(at):
         return []
-    rough, cut = x32[at] @ q.astype(np.float32), k + 1
+    rough, cut = x32[at] @ _single(q[None])[0], k + 1
+    margin = (len(q) + 3) * 2.0**-22
     while True:
         near = at
         if len(at) > cut:
-            # Single precision may swap near equals: keep all within its error.
             edge = np.partition(rough, -cut)[-cut]
-            near = at[rough >= edge - 1e-5 * (1 + np.abs(rough).max())]
+            near = at[rough >= edge - margin]
         best: dict = {}
         for s, a in zip(exact(q, x[near]).tolist(), near.tolist()):
             for i in ids[a]:
@@ -161,7 +181,7 @@ def _search(hashing, count: int | None, k: int):
         if left.num_rows and right.num_rows:
             h = hashing.value
             x, ids = _matrix(right["v"]), right["ids"].to_pylist()
-            x32 = x.astype(np.float32)
+            x32 = _single(x)
             cut = [np.unique(b, return_inverse=True) for b in h.buckets(x)] if count else []
             for own, q in zip(left["query_id"].to_pylist(), _matrix(left["v"])):
                 seen = np.full(len(x), not count)
@@ -184,7 +204,7 @@ def _visits_needed(index: DataFrame, sample: list, hashing, k: int) -> int | Non
             x, ids = _matrix(batch.column("v")), batch.column("ids").to_pylist()
             if not len(x):
                 continue
-            x32, everything = x.astype(np.float32), np.arange(len(x))
+            x32, everything = _single(x), np.arange(len(x))
             buckets, out = h.buckets(x), []
             home = {i: a for a, own in enumerate(ids) for i in own}
             for (own, q), probed in zip(sample, probes):
@@ -232,16 +252,22 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 20, key: str = "vec_id",
     same = Window.partitionBy("v").orderBy("id")
     few = rows.withColumn("k", F.row_number().over(same)).where(F.col("k") <= k + 1)
     index = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    index = staged(index, "nearest-index")
-    asked = staged(rows.where(asks).select(F.col("id").alias("query_id"), "v"), "nearest-queries")
+    # Written with the rows, the number of a row stays the same in every later scan.
+    numbered = F.monotonically_increasing_id().alias("row")
+    index = staged(index.select(numbered, "ids", "v"), "nearest-index")
+    asked = staged(rows.where(asks).select(F.col("id").alias("query_id"), "v").select(numbered, "query_id", "v"), "nearest-queries")
     squares = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
     n, norm = index.agg(F.count("*"), F.sqrt(F.max(squares))).first()
     sample = asked.orderBy(F.xxhash64("query_id"), "query_id", "v").limit(SAMPLE_QUERIES).collect()
     sample = [(r["query_id"], np.array(r["v"])) for r in sample]
     hashing = spark.sparkContext.broadcast(Hashing(size, float(norm or 1.0)))
     count = _visits_needed(index, sample, hashing, k)
-    tiles = max(1, -(-n // max(256, TILE_VALUES // size)))
-    found = _compared(asked, index, tiles, _search(hashing, count, k), k)
+    tile = max(256, TILE_VALUES // size)
+    tiles = max(1, -(-n // tile))
+    if count and _part_met(index, sample, hashing, count) < LOOKUP_PART:
+        found = _looked_up(asked, index, tile, hashing, count, k)
+    else:
+        found = _compared(asked, index, tiles, _search(hashing, count, k), k)
     if count:
         # Each query's own id is one of all ids.
         wanted = min(k, index.select(F.explode("ids").alias("id")).distinct().count() - 1)
@@ -261,9 +287,109 @@ def _compared(asked: DataFrame, index: DataFrame, tiles: int, search, k: int) ->
     left = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("tile", over(tiles))
     right = index.withColumn("tile", F.pmod(F.xxhash64("v"), F.lit(tiles)).cast("int")).withColumn("block", over(blocks))
     pairs = left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile"))
-    found = pairs.applyInArrow(search, _FOUND)
+    return _ranked(pairs.applyInArrow(search, _FOUND), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # Rows that repeat an id with several vectors may find a candidate twice.
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def _codes(hashing, count: int | None):
+    """``(row, code)``: the buckets of each vector, or those that a query visits."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, table = hashing.value, np.arange(TABLES)[:, None]
+        for batch in batches:
+            x, row = _matrix(batch.column("v")), batch.column("row").to_numpy()
+            if not len(x):
+                continue
+            if count is None:
+                # Equal codes of two tables would only add candidates.
+                found = [(row[i : i + 1], b) for i, b in enumerate((h.buckets(x) * TABLES + table).T)]
+            else:
+                found = [(row[i : i + 1], np.unique(h.probes(q, count) * TABLES + table)) for i, q in enumerate(x)]
+            rows = np.concatenate([np.repeat(r, len(b)) for r, b in found])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.concatenate([b for _, b in found]))], ["row", "code"])
+
+    return code
+
+
+def _met(k: int):
+    """Compares each query of a part with the vectors there whose buckets it visits."""
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows: list = []
+        if left.num_rows and right.num_rows:
+            x, ids = _matrix(right["v"]), right["ids"].to_pylist()
+            x32, codes = _single(x), right["codes"].combine_chunks()
+            held, home = codes.flatten().to_numpy(), codes.value_parent_indices().to_numpy()
+            order = np.argsort(held, kind="stable")
+            held, home = held[order], home[order]
+            visited = left["codes"].combine_chunks()
+            for own, q, wanted in zip(left["query_id"].to_pylist(), _matrix(left["v"]), visited):
+                wanted = wanted.values.to_numpy()
+                lo, hi = np.searchsorted(held, wanted), np.searchsorted(held, wanted, "right")
+                at = [home[a:b] for a, b in zip(lo, hi) if a < b]
+                rows += [(own, i, s) for i, s in _best(own, q, x, x32, np.unique(np.concatenate(at)), ids, k)] if at else []
+        return pa.Table.from_batches([_found(rows)])
+
+    return search
+
+
+def _part_met(index: DataFrame, sample: list, hashing, count: int) -> float:
+    """Vectors in the buckets that a query of the sample visits, once for each table, as a part of all."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = hashing.value
+        probes = [h.probes(q, count) for _, q in sample]
+        for batch in batches:
+            x = _matrix(batch.column("v"))
+            if len(x):
+                made = [np.unique(b, return_counts=True) for b in h.buckets(x)]
+                pairs = sum(int(c[np.isin(b, p[t])].sum()) for p in probes for t, (b, c) in enumerate(made))
+                yield pa.RecordBatch.from_arrays([pa.array([pairs]), pa.array([len(x)])], ["pairs", "n"])
+
+    pairs, n = index.select("v").mapInArrow(met, "pairs BIGINT, n BIGINT").agg(F.sum("pairs"), F.sum("n")).first()
+    return (pairs or 0) / max(1, (n or 0) * len(sample))
+
+
+def _looked_up(asked: DataFrame, index: DataFrame, tile: int, hashing, count: int, k: int) -> DataFrame:
+    """``(query_id, rank, vec_id, score)`` of a join by bucket."""
+    codes = lambda df, visits: df.select("row", "v").mapInArrow(_codes(hashing, visits), "row BIGINT, code BIGINT")
+    entries = staged(codes(index, None), "nearest-entries")
+    probes = staged(codes(asked, count), "nearest-probes")
+    number = lambda df, name: df.groupBy("code").agg(F.count("*").alias(name))
+    met = staged(number(entries, "vectors").join(number(probes, "queries"), "code"), "nearest-met")
+    most, block = max(1, tile // PART_BUCKETS), max(1, BLOCK_QUERIES // PART_BUCKETS)
+    large = (F.col("vectors") > most) | (F.col("queries") > block)
+    over = lambda name, most: F.ceil(F.col(name) / most).cast("int")
+    cut = met.where(large).select("code", over("vectors", tile).alias("tiles"), over("queries", BLOCK_QUERIES).alias("blocks"))
+    cut, _ = measured(cut, "nearest-cut")
+    shared = met.where(~large)
+    total = shared.agg(F.sum("vectors"), F.sum("queries")).first()
+    parts = max(1, *(-(-int(got or 0) // most) for got, most in zip(total, (tile, BLOCK_QUERIES))))
+
+    def placed(keys: DataFrame, own: str, other: str) -> DataFrame:
+        """``(row, part, block, tile, codes)``: where each row goes, once for each place."""
+        dealt = {"tile": "tiles", "block": "blocks"}
+        joined = keys.join(cut, "code", "left")
+        split = joined.where("tiles IS NOT NULL")
+        split = split.withColumn(own, F.pmod(F.xxhash64("row"), F.col(dealt[own])).cast("int"))
+        split = split.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(dealt[other]) - 1)))
+        few = joined.where("tiles IS NULL").join(shared, "code", "left_semi")
+        few = few.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(parts)))
+        # A tile of -1 marks the shared parts.
+        few = few.groupBy("row", "part").agg(F.collect_list("code").alias("codes")).select(
+            "row", "part", F.lit(0).alias("block"), F.lit(-1).alias("tile"), "codes"
+        )
+        split = split.select("row", F.col("code").alias("part"), "block", "tile", F.array("code").alias("codes"))
+        return few.unionByName(split)
+
+    place = ["part", "block", "tile"]
+    left = placed(probes, "block", "tile").join(asked, "row").select(*place, "codes", "query_id", "v")
+    right = placed(entries, "tile", "block").join(index, "row").select(*place, "codes", "ids", "v")
+    return _ranked(left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(_met(k), _FOUND), k)
