@@ -164,7 +164,7 @@ def _requests(kind: int, parts: int):
                 keys, place = (chunk.vocabulary, chunk.ids) if kind == 1 else chunk.bigrams()
                 counts = np.bincount(place[chunk.train], minlength=len(keys))
                 edges = _edges(keys, parts, _BITS[kind])
-                used = [k for k in range(parts) if edges[k] < edges[k + 1]]
+                used = np.flatnonzero(np.diff(edges)).tolist()
                 yield _batch(
                     _REQUEST,
                     [
