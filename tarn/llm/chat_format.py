@@ -18,7 +18,8 @@ Defined cases: null role or text is empty; rows are ordered by turn (nulls
 first), then role, then text, so repeated rows stay as repeated turns; rows
 without ``conv_id`` are one conversation; an empty table gives no row. One
 conversation is read by one task, row by row and never gathered, as its digests
-are sequential.
+are sequential. A very long text is one row and is held whole; further columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ smallest hash, one window of each at a hashed place.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 with nothing to learn from, every text is; a single language scores 1;
-repeated rows are each judged; further columns are kept.
+repeated rows are each judged; an empty table gives no row; all windows of a very long
+text vote, some hundreds at a time; further columns are kept, but columns named
+``lang_pred`` or ``score``, in any case of letters, are replaced.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Defined cases: documents are ordered by ``doc_id`` (nulls last), then by the tex
 MD5; rows that repeat both are one document; lines that overlap
 their own copy (one line many times over) keep the first of them; blank lines belong to no run
 and stay; a null text has no lines and stays null; a text in one line is a run of one
-line; an empty table gives no row; further columns are kept, but columns named
+line; a very long text is split into lines within one row; an empty table gives no
+row; further columns are kept, but columns named
 ``n_lines``, ``n_deleted`` or ``n_runs`` are replaced.
 """
 

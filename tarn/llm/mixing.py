@@ -19,7 +19,8 @@ id and text, so a lost task draws the same again.
 
 Defined cases: a null category is the category ``''``; a null or wordless text
 has 0 tokens and is kept (it costs nothing); repeated rows are drawn alike;
-an empty table gives no row; further columns are kept, but columns named ``topic``,
+a very long text is split into words within one row; an empty table gives no row;
+further columns are kept, but columns named ``topic``,
 ``n_tokens``, ``p`` or ``kept`` are replaced (``topic`` only if it is derived here).
 """
 

@@ -12,7 +12,9 @@ language, source and id are never inputs of a score.
 Defined cases: a null text counts as empty, and all its statistics are 0; without
 labels every score is 0.5; with one class alone it is that class's smoothed share;
 a document with several labels counts with each; repeated rows are each scored;
-further columns are kept.
+an empty table gives no row; a very long text is taken whole (some 50 bytes of memory
+per byte of text); further columns are kept, but columns named ``score`` or
+``predicted``, in any case of letters, are replaced.
 """
 
 from __future__ import annotations
