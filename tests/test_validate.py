@@ -21,18 +21,18 @@ def errors(spark, schema, *raws):
 
 
 def test_flat_record(spark):
-    good, bad = split_valid(docs(spark, '{"a": "toto", "b": 12}'), "a STRING, b INT")
+    good, bad = split_valid(docs(spark, '{"a": "heron", "b": 31}'), "a STRING, b INT")
     row = project.to_rows(good, "a STRING, b INT").first()
-    assert tuple(row) == ("toto", 12) and bad.count() == 0
+    assert tuple(row) == ("heron", 31) and bad.count() == 0
     back = project.to_json_docs(project.to_rows(good, "a STRING, b INT"), "a STRING, b INT").first()["raw"]
-    assert json.loads(back) == {"a": "toto", "b": 12}
+    assert json.loads(back) == {"a": "heron", "b": 31}
 
 
 def test_nested_record(spark):
     schema = "a STRING, b STRUCT<c: INT>"
-    good, _ = split_valid(docs(spark, '{"a": "toto", "b": {"c": 12}}'), schema)
+    good, _ = split_valid(docs(spark, '{"a": "heron", "b": {"c": 31}}'), schema)
     row = project.to_rows(good, schema).first()
-    assert row["a"] == "toto" and tuple(row["b"]) == (12,)
+    assert row["a"] == "heron" and tuple(row["b"]) == (31,)
 
 
 @pytest.mark.parametrize(
