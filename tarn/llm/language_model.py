@@ -18,7 +18,8 @@ hash are counted as one (with 10**11 bigrams, one in 2,800 shares its hash).
 
 Defined cases: a null text is empty, and an empty text has the end token alone;
 without training tokens all weight lies on the uniform estimate; repeated rows are
-each counted and scored; an empty table gives no row; further columns are ignored.
+each counted and scored; an empty table gives no row; a very long text is read in
+pieces and may lie in several chunks, whose sums are added; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from tarn.llm import text as words_of
 from tarn.session import staged
 
-#: Tokens in a chunk, but for longer texts; entries of a range, about.
+#: Tokens in a chunk and entries of a range, about.
 CHUNK_TOKENS, RANGE_ENTRIES = 1_000_000, 600_000
 BUCKETS = 24
 EM_ROUNDS = 60
@@ -46,11 +47,14 @@ _BITS = {1: 64, 2: 48}
 #: Steps of a rounded log2 probability, and how many there are; 0 stands for none.
 _FINE, _STEPS = 4, 192
 
-_CHUNK = "chunk BIGINT, doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, ids BINARY, entries BIGINT, tokens BIGINT, vocabulary BINARY"
+_CHUNK = (
+    "chunk BIGINT, first BIGINT, doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, ids BINARY, edge ARRAY<BIGINT>, "
+    "entries BIGINT, tokens BIGINT, vocabulary BINARY"
+)
 _REQUEST = "chunk BIGINT, kind INT, part INT, keys BINARY, counts BINARY"
 _ANSWER = "chunk BIGINT, kind INT, part INT, totals BINARY, all_tokens BIGINT, all_types BIGINT"
-_FACTS = "doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, single BINARY, pair BINARY"
-_SCORES = "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
+_FACTS = "first BIGINT, doc_ids ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, sizes BINARY, edge ARRAY<BIGINT>, single BINARY, pair BINARY"
+_SCORES = "row BIGINT, doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -99,35 +103,50 @@ def _rows(table) -> Iterator[dict]:
         yield table.slice(i, 1).to_pylist()[0]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents ``(doc_id, held_out, text)`` to chunks."""
-    part, made = TaskContext.get().partitionId(), 0
-    ids, held, sizes, tokens, waiting = [], [], [], [], 0
-
-    def chunk() -> pa.RecordBatch:
-        nonlocal made
-        vocabulary, local = np.unique(np.concatenate(tokens), return_inverse=True)
-        made += 1
-        row = [
-            [(part << 32) + made], [ids], [held], [pack(_small(np.concatenate(sizes)))], [pack(_small(local))],
-            [len(vocabulary)], [len(local)], [pack_sorted(vocabulary)],
-        ]
-        return _batch(_CHUNK, row)
-
-    for batch in batches:
-        doc_ids, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for run in words_of.words(batch.column(2), words_of.NON_SPACE):
-            n = len(run.first) - 1
-            ids += doc_ids[run.lo : run.lo + n]
-            held += folds[run.lo : run.lo + n]
-            sizes.append(np.diff(run.first) + 1)
-            tokens.append(np.insert(run.hashes, run.first[1:], _END))
-            waiting += len(tokens[-1])
-            if waiting >= CHUNK_TOKENS:
-                yield chunk()
-                ids, held, sizes, tokens, waiting = [], [], [], [], 0
-    if ids:
-        yield chunk()
+def _cut(chunk_tokens: int):
+    """Documents ``(doc_id, held_out, text)`` to chunks. A long text may go on in
+    the next chunk; ``first`` numbers a chunk's first text and ``edge`` has the places, in
+    its vocabulary, of the end and of the token before its first one."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, done = TaskContext.get().partitionId(), 0, 0
+        ids, held, sizes, tokens, waiting = [], [], [], [], 0
+        lead = _END
+
+        def chunk() -> pa.RecordBatch:
+            nonlocal made
+            vocabulary, local = np.unique(np.concatenate([[_END, lead], *tokens]), return_inverse=True)
+            made += 1
+            row = [
+                [(part << 32) + made], [(part << 32) + done], [ids], [held], [pack(_small(np.array(sizes)))], [pack(_small(local[2:]))],
+                [local[:2].tolist()], [len(vocabulary)], [len(local) - 2], [pack_sorted(vocabulary)],
+            ]
+            return _batch(_CHUNK, row)
+
+        for batch in batches:
+            doc_ids, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            going = False
+            for run in words_of.word_pieces(batch.column(2), words_of.NON_SPACE, 0):
+                found = run.hashes if run.goes_on else np.insert(run.hashes, run.first[1:], _END)
+                if going and sizes:
+                    sizes[-1] += len(found)
+                else:
+                    at = slice(run.lo, run.lo + len(run.first) - 1)
+                    ids += doc_ids[at]
+                    held += folds[at]
+                    sizes += (np.diff(run.first) + (not run.goes_on)).tolist()
+                tokens.append(found)
+                waiting += len(found)
+                going = run.goes_on
+                if waiting >= chunk_tokens:
+                    yield chunk()
+                    done += len(ids) - going
+                    lead = next(t[-1] for t in reversed(tokens) if len(t))
+                    ids, held, sizes, tokens, waiting = [], [], [], [], 0
+        if ids:
+            yield chunk()
+
+    return cut
 
 
 class _Chunk:
@@ -136,19 +155,13 @@ class _Chunk:
     def __init__(self, row: dict):
         self.sizes = unpack(row["sizes"]).astype(np.int64)
         self.ids = unpack(row["ids"]).astype(np.int64)
+        self.edge = row["edge"]
         self.vocabulary = unpack_sorted(row["vocabulary"])
         self.train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
 
-    def before(self) -> np.ndarray:
-        """Each token's context: the token before it, and the end for a first one."""
-        out = np.empty_like(self.ids)
-        out[1:] = self.ids[:-1]
-        out[np.cumsum(self.sizes) - self.sizes] = int(np.searchsorted(self.vocabulary, _END))
-        return out
-
     def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted hashes of the distinct bigrams, and each token's place there."""
-        codes, place = np.unique(self.before() * len(self.vocabulary) + self.ids, return_inverse=True)
+        codes, place = np.unique(_before(self.ids, self.sizes, self.edge) * len(self.vocabulary) + self.ids, return_inverse=True)
         hashes = words_of.mix(
             self.vocabulary[codes // len(self.vocabulary)] * _PAIR + self.vocabulary[codes % len(self.vocabulary)]
         )
@@ -156,6 +169,16 @@ class _Chunk:
         return keys, rank[place]
 
 
+def _before(values: np.ndarray, sizes: np.ndarray, edge: list[int]) -> np.ndarray:
+    """What each token's context has: the token before it, the end before a first
+    one, and what the chunk before ended with ahead of the whole chunk."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[np.cumsum(sizes) - sizes] = edge[0]
+    out[:1] = edge[1]
+    return out
+
+
 def _requests(kind: int, parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,18 +238,16 @@ def _to_facts(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         )
         _, place = chunk.bigrams()
         facts = singles[chunk.ids], pairs[place]
-        out.append([row["doc_ids"], row["held_out"], row["sizes"], *(pack(_small(f)) for f in facts)])
-    return pa.Table.from_batches([_batch(_FACTS, list(zip(*out)) if out else [[]] * 5)])
+        edge = singles[chunk.edge].tolist()
+        out.append([*(row[c] for c in ("first", "doc_ids", "held_out", "sizes")), edge, *(pack(_small(f)) for f in facts)])
+    return pa.Table.from_batches([_batch(_FACTS, list(zip(*out)) if out else [[]] * 7)])
 
 
 def _counts(row: dict) -> tuple[np.ndarray, ...]:
     """Of a row of facts: the texts' sizes, and counts of each token, of the token
     before it (the end before a first one), and of its bigram."""
     sizes, single, pair = (unpack(row[c]).astype(np.int64) for c in ("sizes", "single", "pair"))
-    before = np.empty_like(single)
-    before[1:] = single[:-1]
-    before[np.cumsum(sizes) - sizes] = single[-1]
-    return sizes, single, before, pair
+    return sizes, single, _before(single, sizes, row["edge"]), pair
 
 
 def _bucket(before: np.ndarray) -> np.ndarray:
@@ -299,7 +320,8 @@ def _score(n: int, v: int, weights: np.ndarray):
                 starts = np.cumsum(sizes) - sizes
                 known = np.add.reduceat((single > 0).astype(np.int64), starts)
                 sums = np.add.reduceat(base, starts), np.add.reduceat(np.log10(mixed), starts)
-                yield _batch(_SCORES, [row["doc_ids"], row["held_out"], sizes, known, *sums])
+                rows = row["first"] + np.arange(len(sizes))
+                yield _batch(_SCORES, [rows, row["doc_ids"], row["held_out"], sizes, known, *sums])
 
     return score
 
@@ -312,7 +334,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    chunks = staged(rows.mapInArrow(_cut, _CHUNK), "lm-chunks")
+    chunks = staged(rows.mapInArrow(_cut(CHUNK_TOKENS), _CHUNK), "lm-chunks")
     size = chunks.agg(F.sum("entries"), F.sum("tokens")).first()
     entries, tokens = (int(x or 0) for x in size)
 
@@ -329,5 +351,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     cells = facts.mapInArrow(_deleted(n), "cell BIGINT, n BIGINT").groupBy("cell").agg(F.sum("n").alias("n"))
     table = cells.orderBy("cell").toPandas()
     weights = learn_weights(table["cell"].to_numpy(np.int64), table["n"].to_numpy(np.float64), 1 / (v + 1))
-    scored = facts.mapInArrow(_score(n, v, weights), _SCORES)
+    parts = facts.mapInArrow(_score(n, v, weights), _SCORES)
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    scored = parts.groupBy("row", "doc_id", "held_out").agg(*sums).drop("row")
     return scored.withColumn("train_tokens", F.lit(n).cast("bigint"))

@@ -24,8 +24,8 @@ Defined cases: a document without words, or null, has an empty set and is linked
 with nothing; with fewer than five words the whole sequence is one shingle;
 rows that repeat a ``doc_id`` are judged each by its text; ids that are null are the last
 choice for ``component_id`` and are kept only if alone; an empty table gives no
-row; a very long text is taken whole, as its set must be (some 50 bytes of memory
-per byte of text); further columns are ignored by ``link`` and kept by ``keep_one``.
+row; a very long text is read in pieces, and only its set, 8 bytes for each
+distinct shingle, is held whole; further columns are ignored by ``link`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -51,6 +51,8 @@ COORDINATES = 192
 #: The chance to share no bucket is lower, at the similarity asked for.
 MISSED = 1e-6
 RING_BITS = 20
+#: Bytes of full sets sent on together, but for one larger set.
+SET_BYTES = 8 << 20
 #: Nodes in a tile of the exact round.
 TILE = 1024
 
@@ -108,14 +110,18 @@ def node_key(shingles: np.ndarray) -> bytes:
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """Index and sorted distinct shingle hashes of each text with words."""
-    for run in words_of.words(column, words_of.NON_SPACE):
+    earlier: list[np.ndarray] = []
+    for run in words_of.word_pieces(column, words_of.NON_SPACE, SHINGLE - 1):
         hashes = words_of.runs(run.hashes, SHINGLE)
         for i in range(len(run.first) - 1):
             lo, hi = run.first[i], run.first[i + 1]
             if hi - lo >= SHINGLE:
-                yield run.lo + i, np.unique(hashes[lo : hi - SHINGLE + 1])
-            elif hi > lo:
-                yield run.lo + i, np.array([words_of.run_of(run.hashes[lo:hi])], np.uint64)
+                earlier.append(np.unique(hashes[lo : hi - SHINGLE + 1]))
+            elif hi > lo and not earlier and not run.goes_on:
+                earlier.append(np.array([words_of.run_of(run.hashes[lo:hi])], np.uint64))
+            if earlier and not run.goes_on:
+                yield run.lo + i, earlier[0] if len(earlier) == 1 else np.unique(np.concatenate(earlier))
+                earlier = []
 
 
 def _sketch(bands: int, rows: int):
@@ -139,14 +145,20 @@ def _sketch(bands: int, rows: int):
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["node", "n", "shingles", "signature"])
+
     for batch in batches:
-        rows = [(node_key(s), len(s), s.tobytes(), signature(s).tobytes()) for _, s in shingle_sets(batch.column(0))]
-        for k in range(0, len(rows), 500):
-            nodes, sizes, sets, signatures = zip(*rows[k : k + 500])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())],
-                ["node", "n", "shingles", "signature"],
-            )
+        rows, held = [], 0
+        for _, s in shingle_sets(batch.column(0)):
+            rows.append((node_key(s), len(s), s.tobytes(), signature(s).tobytes()))
+            held += s.nbytes
+            if len(rows) == 500 or held > SET_BYTES:
+                yield made(rows)
+                rows, held = [], 0
+        if rows:
+            yield made(rows)
 
 
 def _is_link(common: np.ndarray, a, b, similar: int) -> np.ndarray:

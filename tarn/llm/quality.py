@@ -12,8 +12,8 @@ language, source and id are never inputs of a score.
 Defined cases: a null text counts as empty, and all its statistics are 0; without
 labels every score is 0.5; with one class alone it is that class's smoothed share;
 a document with several labels counts with each; repeated rows are each scored;
-an empty table gives no row; a very long text is taken whole (some 50 bytes of memory
-per byte of text); further columns are kept, but columns named ``score`` or
+an empty table gives no row; a very long text is read in pieces, of which totals and distinct
+words are kept; further columns are kept, but columns named ``score`` or
 ``predicted``, in any case of letters, are replaced.
 """
 
@@ -57,48 +57,57 @@ _CLASSES = {
     "beyond": _table(lambda b: 128 <= b < 192 or b >= 224),
 }
 _NEWLINE = _table(lambda b: b == 10)
-
+_COUNTS = "size count lines length longest repeat distinct ends_odd short".split()
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    if len(bounds) == 2:
+        return np.array([values.sum(dtype=np.int64)])
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
 def text_stats(column: pa.Array) -> dict[str, np.ndarray]:
-    """The statistics of each text, by name."""
-    out = {s: np.zeros(len(column)) for s in STATS}
-    for run in words_of.words(column, words_of.NON_SPACE):
-        n = len(run.bounds) - 1
-        at = slice(run.lo, run.lo + n)
-        size = np.diff(run.bounds)
-        per_byte = 1 / np.maximum(size, 1)
-        raw, _ = words_of.buffers(column.slice(run.lo, n))
-        for name, table in _CLASSES.items():
-            out[name][at] = _sums(table[raw], run.bounds) * per_byte
+    """The statistics of each text, by name. Totals are added up over the pieces of a long text."""
+    n = len(column)
+    sums = {k: np.zeros(n, np.int64) for k in (*_CLASSES, *_COUNTS)}
+    last_word, kinds = np.zeros(0, np.uint64), []
+    for run in words_of.word_pieces(column, words_of.NON_SPACE, 0):
+        texts = len(run.bounds) - 1
+        at = slice(run.lo, run.lo + texts)
         count = np.diff(run.first)
-        per_word = 1 / np.maximum(count, 1)
         length = run.ends - run.starts
-        out["chars"][at] = np.log1p(size)
-        out["words"][at] = np.log1p(count)
-        out["lines"][at] = _sums(_NEWLINE[raw], run.bounds) * per_word
-        out["word_mean"][at] = _sums(length, run.first) * per_word
-        owner = np.repeat(np.arange(n), count)
-        longest = np.zeros(n, np.int64)
-        np.maximum.at(longest, owner, length)
-        out["word_longest"][at] = np.log1p(longest)
+        owner = np.repeat(np.arange(texts), count)
+        sums["size"][at] += np.diff(run.bounds)
+        sums["count"][at] += count
+        for name, table in (*_CLASSES.items(), ("lines", _NEWLINE)):
+            sums[name][at] += _sums(table[run.raw], run.bounds)
+        sums["length"][at] += _sums(length, run.first)
+        np.maximum.at(sums["longest"][at], owner, length)
         same = np.zeros(len(length), np.int64)
         same[1:] = (run.hashes[1:] == run.hashes[:-1]) & (owner[1:] == owner[:-1])
-        out["repeat"][at] = _sums(same, run.first) * per_word
+        if len(same) and len(last_word):
+            same[0] = run.hashes[0] == last_word[0]
+        sums["repeat"][at] += _sums(same, run.first)
+        last = run.data[run.ends - 1] if len(length) else run.data[:0]
+        odd = (_LETTER[last] == 0) & (_CLASSES["stop"][last] == 0) & (_CLASSES["digit"][last] == 0)
+        sums["ends_odd"][at] += _sums(odd, run.first)
+        sums["short"][at] += _sums(length <= 2, run.first)
+        if run.goes_on or kinds:
+            kinds.append(np.unique(run.hashes))
+            last_word = run.hashes[-1:] if len(length) else last_word
+            if not run.goes_on:
+                sums["distinct"][run.lo] = len(np.unique(np.concatenate(kinds)))
+                last_word, kinds = last_word[:0], []
+            continue
         order = np.lexsort((run.hashes, owner))
         fresh = np.ones(len(length), np.int64)
         fresh[1:] = (run.hashes[order][1:] != run.hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-        out["distinct"][at] = _sums(fresh, run.first) * per_word
-        last = run.data[run.ends - 1] if len(length) else run.data[:0]
-        odd = (_LETTER[last] == 0) & (_CLASSES["stop"][last] == 0) & (_CLASSES["digit"][last] == 0)
-        out["ends_odd"][at] = _sums(odd, run.first) * per_word
-        out["short"][at] = _sums(length <= 2, run.first) * per_word
-    return out
+        sums["distinct"][at] = _sums(fresh, run.first)
+    per_byte, per_word = 1 / np.maximum(sums["size"], 1), 1 / np.maximum(sums["count"], 1)
+    out = {"chars": np.log1p(sums["size"]), "words": np.log1p(sums["count"]), "word_longest": np.log1p(sums["longest"])}
+    out |= {k: sums[k] * per_byte for k in _CLASSES} | {"word_mean": sums["length"] * per_word}
+    return out | {k: sums[k] * per_word for k in ("lines", "repeat", "distinct", "ends_odd", "short")}
 
 
 @F.arrow_udf(_STRUCT)
@@ -241,8 +250,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn_from: Column, text
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score 0.5 or more, unchanged."""
-    stats = staged(with_stats(docs.select("doc_id", text), text).drop(text), "quality-stats")
-    model = train(stats.where(learn_from), labels)
+    """The rows of ``docs`` that score 0.5 or more, unchanged. Which rows are
+    learned from follows from ids and labels alone, so statistics are taken of those at most
+    ``SAMPLE_ROWS`` ids for the fit, and of each row once for its score."""
+    known = labels.where("quality IS NOT NULL").select("doc_id", F.col("quality").cast("double").alias("_y"))
+    ids = docs.select("doc_id").where(learn_from).join(known, "doc_id")
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "_y").limit(SAMPLE_ROWS).select("doc_id").distinct()
+    sample = docs.select("doc_id", text).where(learn_from).join(F.broadcast(ids), "doc_id", "left_semi")
+    model = train(with_stats(sample, text), labels)
     scored = with_stats(sheltered(docs), place(docs, text))
     return restored(scored.where(model.score(F.col("_quality_stats")) >= 0.5), docs)

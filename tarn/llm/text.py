@@ -72,6 +72,8 @@ class Words:
     #: The first words that an earlier piece of the same text held too, and whether the text goes on in a later one.
     carried: int = 0
     goes_on: bool = False
+    #: The bytes as they were, with capitals.
+    raw: np.ndarray | None = None
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
@@ -103,18 +105,36 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def _spans(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of ``letters`` that lie within one text."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = letters[data]
-    cut = np.zeros(len(data) + 1, bool)
-    cut[bounds] = True
-    return np.flatnonzero(inside[1:] & (~inside[:-1] | cut)), np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
+    starts, ends = [], []
+    for lo in range(0, len(data) + 1, CHUNK_BYTES):
+        hi = min(lo + CHUNK_BYTES, len(data) + 1)
+        inside = np.zeros(hi - lo + 1, bool)  # from the place before ``lo`` on
+        inside[int(lo == 0) : min(hi, len(data)) - lo + 1] = letters[data[max(lo - 1, 0) : hi]]
+        cut = np.zeros(hi - lo, bool)
+        cut[bounds[np.searchsorted(bounds, lo) : np.searchsorted(bounds, hi)] - lo] = True
+        starts.append(lo + np.flatnonzero(inside[1:] & (~inside[:-1] | cut)))
+        ends.append(lo + np.flatnonzero(inside[:-1] & (~inside[1:] | cut)))
+    return np.concatenate(starts), np.concatenate(ends)
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """Block by block, so that one long word needs no more memory than a block."""
+    power, inverse = _power_tables(min(len(data), CHUNK_BYTES))
+    before, after, back = (np.zeros(len(starts), np.uint64) for _ in range(3))
+    total = np.zeros(1, np.uint64)
+    for lo in range(0, len(data), CHUNK_BYTES):
+        block = data[lo : lo + CHUNK_BYTES]
+        n, shift = len(block), np.uint64(pow(int(_BASE), lo, 1 << 64))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((block.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+        sums = sums * shift + total
+        own = slice(*np.searchsorted(starts, [lo, lo + n]))
+        before[own] = sums[starts[own] - lo]
+        back[own] = inverse[starts[own] - lo] * np.uint64(pow(int(_INVERSE), lo, 1 << 64))
+        own = slice(*np.searchsorted(ends, [lo, lo + n], side="right"))
+        after[own] = sums[ends[own] - lo]
+        total = sums[-1:]
+    return mix((after - before) * back + (ends - starts).astype(np.uint64))
 
 
 def words(column: pa.Array, letters: np.ndarray) -> Iterator[Words]:
@@ -143,7 +163,7 @@ def word_pieces(column: pa.Array, letters: np.ndarray, carry: int, hashed: bool
         if len(raw) <= CHUNK_BYTES:
             data = _LOWER[raw]
             starts, ends = _spans(data, bounds, letters)
-            yield Words(lo, data, bounds, starts, ends, np.searchsorted(starts, bounds), _hashes(data, starts, ends) if hashed else None)
+            yield Words(lo, data, bounds, starts, ends, np.searchsorted(starts, bounds), _hashes(data, starts, ends) if hashed else None, raw=raw)
             continue
         at, begins = 0, []
         while at < len(raw):
@@ -153,7 +173,7 @@ def word_pieces(column: pa.Array, letters: np.ndarray, carry: int, hashed: bool
             edge = np.array([0, len(data)])
             starts, ends = _spans(data, edge, letters)
             made = _hashes(data, starts, ends) if hashed else None
-            yield Words(lo, data, edge, starts, ends, np.searchsorted(starts, edge), made, len(begins), end < len(raw))
+            yield Words(lo, data, edge, starts, ends, np.searchsorted(starts, edge), made, len(begins), end < len(raw), raw[start:end])
             begins = [start + int(s) for s in starts[-carry:]] if carry else []
             at = end
 
