@@ -86,10 +86,10 @@ def _ring() -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    places = (shingles >> np.uint64(64 - RING_BITS)).astype(np.int64)
     best = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(places), 256):
-        np.minimum(best, _ring()[places[k : k + 256]].min(axis=0), out=best)
+    for k in range(0, len(shingles), 256):
+        places = (shingles[k : k + 256] >> np.uint64(64 - RING_BITS)).astype(np.int64)
+        np.minimum(best, _ring()[places].min(axis=0), out=best)
     return best
 
 
@@ -104,8 +104,21 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def node_key(shingles: np.ndarray) -> bytes:
     """128 bits that name a set."""
-    with np.errstate(over="ignore"):
-        return b"".join(words_of.mix(shingles ^ salt).sum(dtype=np.uint64).tobytes() for salt in _SALTS)
+    total = np.zeros(len(_SALTS), np.uint64)
+    for k in range(0, len(shingles), 1 << 16):
+        block = shingles[k : k + (1 << 16)]
+        total += np.array([words_of.mix(block ^ salt).sum(dtype=np.uint64) for salt in _SALTS])
+    return total.tobytes()
+
+
+def _united(sets: list[np.ndarray]) -> np.ndarray:
+    """The union of sorted sets; the list is emptied, so that little is held twice."""
+    if len(sets) == 1:
+        return sets.pop()
+    every = np.concatenate(sets)
+    sets.clear()
+    every.sort()
+    return every[np.concatenate([[True], every[1:] != every[:-1]])]
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -120,8 +133,7 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             elif hi > lo and not earlier and not run.goes_on:
                 earlier.append(np.array([words_of.run_of(run.hashes[lo:hi])], np.uint64))
             if earlier and not run.goes_on:
-                yield run.lo + i, earlier[0] if len(earlier) == 1 else np.unique(np.concatenate(earlier))
-                earlier = []
+                yield run.lo + i, _united(earlier)
 
 
 def _sketch(bands: int, rows: int):
