@@ -21,7 +21,7 @@ from tarn.sources.lake import read_json_docs, read_lake, read_parquet_as, write_
 from tarn.streaming.ingest import stream_ingest
 from tarn.streaming.state import entities_from_state, stream_latest_patches
 from tarn.streaming.patches import current_entities, fold_batch, read_entities, start_entities, stream_patch_log
-from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, entities, event_docs, patch_docs, table
+from workload.fixtures import ENTITY_SCHEMA, EVENT_SCHEMA, deal_out, entities, event_docs, patch_docs, table
 
 LINEITEM_SCHEMA = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
@@ -441,17 +441,17 @@ def q_duplicate_seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out, ckpt = (work_dir(spark, f"ingest-{n}") for n in ("source", "out", "checkpoint"))
-    event_docs(spark, sf_dir).repartition(4).write.parquet(source)
-    docs = spark.readStream.schema("event_id BIGINT, raw STRING").option("maxFilesPerTrigger", 2).parquet(source)
+    files = deal_out(event_docs(spark, sf_dir), source, least=4)
+    docs = spark.readStream.schema("event_id BIGINT, raw STRING").option("maxFilesPerTrigger", -(-files // 2)).parquet(source)
     stream_ingest(docs, EVENT_SCHEMA, out, ckpt, keep=["event_id"], once=True).awaitTermination()
     return _lake_result(spark, out)
 
 
 def q_stream_patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out, ckpt = (work_dir(spark, f"patches-{n}") for n in ("source", "out", "checkpoint"))
-    patch_docs(spark, sf_dir).repartition(4).write.parquet(source)
+    files = deal_out(patch_docs(spark, sf_dir), source, least=4)
     docs = spark.readStream.schema(f"{KEY} BIGINT, {SEQ} BIGINT, doc STRING")
-    docs = docs.option("maxFilesPerTrigger", 2).parquet(source)
+    docs = docs.option("maxFilesPerTrigger", -(-files // 2)).parquet(source)
     stream_patch_log(docs, ENTITY_SCHEMA, KEY, SEQ, out, ckpt, once=True).awaitTermination()
     return _entity_columns(current_entities(entities(spark, sf_dir), out, ENTITY_SCHEMA, KEY, SEQ))
 
@@ -479,7 +479,7 @@ def q_stream_latest_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, ckpt = (work_dir(spark, f"latest-{n}") for n in ("source", "checkpoint"))
     log = patch_docs(spark, sf_dir)
     for part in (log.where(F.col(SEQ) % 2 == 0), log):
-        part.repartition(2).write.mode("append").parquet(source)
+        deal_out(part, source, least=2)
         docs = spark.readStream.schema(f"{KEY} BIGINT, {SEQ} BIGINT, doc STRING").parquet(source)
         stream_latest_patches(docs, ENTITY_SCHEMA, KEY, SEQ, ckpt, once=True).awaitTermination()
     return _entity_columns(entities_from_state(entities(spark, sf_dir), ckpt, ENTITY_SCHEMA, KEY, SEQ))

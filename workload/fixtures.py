@@ -15,10 +15,22 @@ ENTITY_SCHEMA = (
 )
 
 
+#: Rows of a file that a stream reads.
+ROWS_PER_FILE = 25_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def deal_out(rows: DataFrame, path: str, least: int) -> int:
+    """Add rows to a stream's source, in files of about ``ROWS_PER_FILE`` rows and ``least`` files or more, and return their
+    number. Few tasks share a file, as many as it has row groups, so a fixed number of files would keep a stream to a few tasks."""
+    files = max(least, -(-rows.count() // ROWS_PER_FILE))
+    rows.repartition(files).write.mode("append").parquet(path)
+    return files
+
+
 def _field(name: str, text: Column) -> Column:
     return F.concat(F.lit(f'"{name}":'), text)
 
